@@ -68,7 +68,7 @@ def effective_known_at(known_at: Column, run_label: Column) -> Column:
 
 def text_or_null(c: Column) -> Column:
     """Text of a run identifier, with every spelling of "missing" turned into null."""
-    text = F.trim(c.cast("string"))
+    text = c.cast("string")
     return F.when(~text.isin(*fv.MISSING_TEXTS), text)
 
 
