@@ -1 +1,4 @@
 """Registered queries over the driver tables and their DuckDB equivalents."""
+
+from checks.base import ORACLE, QUERIES  # noqa: F401
+from checks import points  # noqa: F401,E402
