@@ -63,6 +63,7 @@ def main(sf_dir: str, names: list[str]) -> int:
     from tidemark.session import build_session
 
     spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": 8, "spark.ui.enabled": "false",
+                                                "spark.ui.showConsoleProgress": "false",
                                                 "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)

@@ -111,12 +111,12 @@ def _(spark, sf):
 
 
 @query("hours_from_start", """
-    SELECT event_id, round(date_diff('microsecond', d::TIMESTAMP + INTERVAL 245 MINUTE, ts) / 3.6e9, 9) AS hours
+    SELECT event_id, date_diff('microsecond', d::TIMESTAMP + INTERVAL 245 MINUTE, ts) / 3.6e9 AS hours
     FROM (SELECT event_id, ts, (ts - INTERVAL 245 MINUTE)::DATE AS d FROM events)""")
 def _(spark, sf):
     t = F.col("ts")
-    return rnd(base.events(spark, sf).select(
-        "event_id", timeaxis.hours_from_start(t, timeaxis.trading_day(t)).alias("hours")))
+    return base.events(spark, sf).select(
+        "event_id", timeaxis.hours_from_start(t, timeaxis.trading_day(t)).alias("hours"))
 
 
 @query("period_code", """
@@ -267,3 +267,123 @@ def _(spark, sf):
 @query("features", FEATURES_SQL)
 def _(spark, sf):
     return rnd(features(spark, sf))
+
+
+@query("forecast_join_runlabel", "SELECT * FROM runs")
+def _(spark, sf):
+    return base.runs(spark, sf)
+
+
+@query("asof_run", "SELECT regionid, datetime, run_datetime, rrp FROM run_1300")
+def _(spark, sf):
+    return asof.asof_run(base.runs(spark, sf), 13).select("regionid", "datetime", "run_datetime", "rrp")
+
+
+LEGACY_DOUBLES = [f"fc_{m}" for m in SNAP_D] + ["am_max_rrp", "am_min_wind", "am_max_demand", "actual_max_rrp",
+                                               "actual_mean_rrp", "actual_min_rrp", "rev_max_rrp", "rev_min_wind",
+                                               "rev_max_demand"]
+LEGACY_OTHERS = ["regionid", "trading_day", "spike", "fc_n_over_300", "fc_n_negative", "dow", "month", "is_weekend",
+                 "season"]
+
+
+@query("features_legacy", rounded("""(
+    SELECT o.regionid, o.trading_day, o.actual_max_rrp, o.actual_mean_rrp, o.actual_min_rrp, o.spike,
+      f.* EXCLUDE (regionid, trading_day, fc_n_periods), a.am_max_rrp, a.am_min_wind, a.am_max_demand,
+      f.fc_max_rrp - a.am_max_rrp AS rev_max_rrp, f.fc_min_wind - a.am_min_wind AS rev_min_wind,
+      f.fc_max_demand - a.am_max_demand AS rev_max_demand,
+      (isodow(o.trading_day) - 1)::INT AS dow, month(o.trading_day)::INT AS month,
+      CAST(isodow(o.trading_day) >= 6 AS INT) AS is_weekend,
+      CASE WHEN month(o.trading_day) IN (12, 1, 2) THEN 'summer'
+           WHEN month(o.trading_day) IN (6, 7, 8) THEN 'winter' ELSE 'shoulder' END AS season
+    FROM daily_outcome o JOIN day_1300 f ON o.regionid = f.regionid AND o.trading_day = f.trading_day
+    LEFT JOIN day_2000 a ON o.regionid = a.regionid AND o.trading_day = a.trading_day)""",
+       LEGACY_DOUBLES, LEGACY_OTHERS))
+def _(spark, sf):
+    return rnd(plan.build_features_by_run(base.price_final(spark, sf), base.runs(spark, sf), PARAMS))
+
+
+@query("feature_join_legacy", """
+    SELECT o.regionid, o.trading_day, o.spike, f.fc_n_periods, a.am_n_periods FROM daily_outcome o
+    JOIN day_1300 f ON o.regionid = f.regionid AND o.trading_day = f.trading_day
+    LEFT JOIN day_2000 a ON o.regionid = a.regionid AND o.trading_day = a.trading_day""")
+def _(spark, sf):
+    runs = base.runs(spark, sf)
+    keys = ["regionid", "trading_day"]
+
+    def day(prefix, hours, least):
+        rows = asof.asof_run(runs, hours)
+        return asof.snapshot_features(rows, prefix, least, day="target_day").select(*keys, f"{prefix}_n_periods")
+
+    return (outcome(spark, sf).select(*keys, "spike").join(day("fc", 13, 20), keys)
+            .join(day("am", 20, 0), keys, "left"))
+
+
+@query("run_label", """
+    SELECT event_id, v, lastchanged, CASE WHEN lastchanged IS NOT NULL THEN
+      min(datetime) OVER (PARTITION BY lastchanged) END AS run_label, lastchanged AS run_written_at
+    FROM a_fc_price""")
+def _(spark, sf):
+    rows = base.a_fc_price(spark, sf).select("event_id", "v", "lastchanged", "datetime")
+    return clean.label_runs(rows).select("event_id", "v", "lastchanged", F.col("run_datetime").alias("run_label"),
+                                         "run_written_at")
+
+
+@query("chrono_split", """
+    SELECT regionid, trading_day, CASE WHEN trading_day < DATE '2024-01-15' THEN 'train'
+      WHEN trading_day < DATE '2024-01-17' THEN 'embargo' WHEN trading_day < DATE '2024-01-23' THEN 'validation'
+      WHEN trading_day < DATE '2024-01-25' THEN 'embargo' ELSE 'test' END AS split
+    FROM features""")
+def _(spark, sf):
+    return plan.chrono_split(features(spark, sf), "2024-01-15", "2024-01-23", 2).select(
+        "regionid", "trading_day", "split")
+
+
+@query("safe_columns", rounded("features", [c for c in FEATURE_DOUBLES if not c.startswith("actual_")],
+                               [c for c in FEATURE_INTS if not c.startswith("actual_")]))
+def _(spark, sf):
+    from tidemark.operators import catalog
+    return rnd(catalog.safe_columns(features(spark, sf), catalog.dictionary(spark), "features"))
+
+
+@query("actuals_join", """
+    SELECT p.settlementdate, p.regionid, p.rrp, s.totaldemand, s.margin FROM price_final p
+    JOIN state_final s ON p.settlementdate = s.settlementdate AND p.regionid = s.regionid""")
+def _(spark, sf):
+    cols = ["settlementdate", "regionid"]
+    return clean.actuals(base.price_final(spark, sf).select(*cols, "rrp"),
+                         base.state_final(spark, sf).select(*cols, "totaldemand", "margin"))
+
+
+@query("vintage_trace", """
+    SELECT f.regionid, f.datetime, f.run_datetime, f.vintage, f.rrp, p.rrp AS actual_rrp
+    FROM (SELECT * FROM a_fc_price WHERE regionid = 'SA1' AND datetime = TIMESTAMP '2024-01-15 18:00:00') f
+    LEFT JOIN price_final p ON p.regionid = f.regionid AND p.settlementdate = f.datetime""")
+def _(spark, sf):
+    when = F.lit("2024-01-15 18:00:00").cast("timestamp_ntz")
+    return asof.vintage_trace(base.a_fc_price(spark, sf), base.price_final(spark, sf), "SA1", when)
+
+
+@query("tumble_30m", """
+    SELECT regionid, bucket_end, round(avg(rrp), 9) AS mean_rrp, count(*) AS n_intervals
+    FROM (SELECT regionid, rrp, time_bucket(INTERVAL 30 MINUTE, ts - INTERVAL 1 MICROSECOND) + INTERVAL 30 MINUTE
+            AS bucket_end FROM a_price WHERE intervention = 0) GROUP BY ALL""")
+def _(spark, sf):
+    from tidemark.operators import explore
+    rows = clean.pricing_run(base.a_price(spark, sf))
+    return rnd(explore.tumble(rows, "ts", ["regionid"], [F.avg("rrp").alias("mean_rrp"),
+                                                        F.count(F.lit(1)).alias("n_intervals")]))
+
+
+@query("downsample_compare", """
+    SELECT f.regionid, f.datetime, f.rrp AS forecast_rrp, round(a.actual_rrp, 9) AS actual_rrp, a.n_intervals
+    FROM asof_2000 f JOIN (
+      SELECT regionid, bucket_end, avg(rrp) AS actual_rrp, count(*) AS n_intervals
+      FROM (SELECT regionid, rrp, time_bucket(INTERVAL 30 MINUTE, ts - INTERVAL 1 MICROSECOND)
+              + INTERVAL 30 MINUTE AS bucket_end FROM a_price WHERE intervention = 0) GROUP BY ALL) a
+    ON f.regionid = a.regionid AND f.datetime = a.bucket_end""")
+def _(spark, sf):
+    from tidemark.operators import explore
+    picked = asof.unpack(asof.forecast_asof(base.forecast(spark, sf), {"ev": 20}, ["rrp"]), "ev")
+    actual = clean.pricing_run(base.a_price(spark, sf)).select("regionid", F.col("ts").alias("settlementdate"), "rrp")
+    return rnd(explore.downsample_compare(
+        picked.select("regionid", "datetime", F.col("rrp").alias("forecast_rrp")), actual))
