@@ -43,7 +43,7 @@ def run_logged(spark: SparkSession, log_path: str, batch_id: str, target: str, s
         bounds = tuple(F.to_timestamp_ntz(F.lit(f"{d} 00:00:00")) for d in window)
         pulled, added = Observation(), Observation()
         incoming = load().observe(pulled, F.count(F.lit(1)).alias("n"))
-        stored = tables.scan_or_empty(spark, target, spec.schema.add("year", "int"))
+        stored = tables.scan_or_empty(spark, target, spec.stored_schema)
         new = merge.missing(stored, incoming, spec.key, spec.time_col, bounds)
         new = new.observe(added, F.count(F.lit(1)).alias("n"), F.max(spec.time_col).alias("latest"))
         merge.write_partitioned(new.select(*spec.schema.names), spec, target)

@@ -151,7 +151,7 @@ def merge_into(spark: SparkSession, path: str, incoming: DataFrame, spec: TableS
     The append reads the table's files as they were when the merge was planned and only adds
     files, so running the same batch again adds nothing.  One writer per table.
     """
-    schema = spec.schema.add("year", "int")
+    schema = spec.stored_schema
     stored = tables.scan_or_empty(spark, path, schema)
     new = merge_new(stored, incoming, spec.key, order, spec.time_col, window, keep_revisions)
     if not dry_run:

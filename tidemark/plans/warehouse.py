@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from tidemark.operators import asof, clean, daily
 from tidemark.plans import features
 from tidemark.specs import Params
 
 
-def layers(tables: Mapping[str, DataFrame], params: Params = Params()) -> dict[str, DataFrame]:
-    """Every layer from the four raw tables; nothing runs until a result is used."""
-    price = clean.price_final(tables["dispatchprice"], day_offset_minutes=params.day_offset_minutes)
-    state = clean.regionsum_final(tables["dispatchregionsum"], day_offset_minutes=params.day_offset_minutes)
+def layers(tables: Mapping[str, DataFrame], params: Params = Params(),
+           tiebreak: Sequence[str] = ("known_at",)) -> dict[str, DataFrame]:
+    """Every layer from the four raw tables; nothing runs until a result is used.
+
+    ``tiebreak`` settles rows of one interval and feed.
+    """
+    offset = params.day_offset_minutes
+    price = clean.price_final(tables["dispatchprice"], tiebreak, day_offset_minutes=offset)
+    state = clean.regionsum_final(tables["dispatchregionsum"], tiebreak, day_offset_minutes=offset)
     forecast = clean.forecast(tables["predispatchprice"], tables["predispatchregionsum"],
                               params.day_offset_minutes)
     outcome = daily.daily_outcome(price, params.threshold, params.expected_intervals, params.exact_intervals)
@@ -33,9 +38,10 @@ def layers(tables: Mapping[str, DataFrame], params: Params = Params()) -> dict[s
     return out
 
 
-def register(spark: SparkSession, tables: Mapping[str, DataFrame], params: Params = Params()) -> list[str]:
+def register(tables: Mapping[str, DataFrame], params: Params = Params(),
+             tiebreak: Sequence[str] = ("known_at",)) -> list[str]:
     """The layers as temporary views for SQL users."""
-    named = layers(tables, params)
+    named = layers(tables, params, tiebreak)
     for name, df in named.items():
         df.createOrReplaceTempView(name)
     return sorted(named)

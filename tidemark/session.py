@@ -24,7 +24,9 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf) -> S
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        "spark.sql.parquet.filterPushdown": "true",
+        # Streaming state larger than memory.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     settings.update({k: str(v) for k, v in conf.items()})
     for k, v in settings.items():

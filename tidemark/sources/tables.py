@@ -69,7 +69,7 @@ def json_rows(lines: DataFrame, schema: T.StructType, column: str = "value",
     return parsed.withColumns(dated) if dated else parsed
 
 
-def reference_documents(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True) -> DataFrame:
+def reference_documents(spark: SparkSession, path: str, schema: T.StructType | str, multiline: bool = True) -> DataFrame:
     """Nested JSON documents read with a declared schema (objects as maps, lists as arrays)."""
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 

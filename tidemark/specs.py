@@ -22,12 +22,17 @@ class TableSpec:
 
     @property
     def schema(self) -> T.StructType:
-        """Declared schema of stored rows: measures, provenance, vintage, year."""
+        """Declared schema of a row: measures, provenance and, for forecasts, vintage."""
         stored = self.columns + fv.PROVENANCE
         if self.is_forecast:
             stored += (("vintage", "string"),)
         return T.StructType.fromDDL(", ".join(f"{c} {t}" for c, t in stored))
 
+    @property
+    def stored_schema(self) -> T.StructType:
+        """`schema` plus the partition column of the stored table."""
+        return self.schema.add("year", T.IntegerType())
+
 
 def _spec(name: str) -> TableSpec:
     forecast = name.startswith("pre")
