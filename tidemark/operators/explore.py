@@ -62,10 +62,14 @@ def quantile_bins(df: DataFrame, by: str, value: str, bins: int = 10) -> DataFra
         F.array_distinct("q").alias("edges"))
     rows = df.where(F.col(by).isNotNull()).withColumn("_edges", edges.scalar())
     number = F.greatest(F.size(F.filter("_edges", lambda e: e < F.col(by))), F.lit(1))
-    binned = rows.select(number.alias("bin"), F.col(value).alias("_v"), F.col(by).alias("_by"))
-    mean = binned.groupBy("bin").agg(F.avg("_v").alias("mean"), F.min("_by").alias("lowest"),
-                                     F.max("_by").alias("highest"), F.count(F.lit(1)).alias("n"))
-    median = exact_quantiles(binned, "_v", [0.5], ["bin"]).select("bin", F.col("q")[0].alias("median"))
+    # Counted per bin and value once; mean and median both start from there.
+    counted = rows.select(number.alias("bin"), F.col(value).cast("double").alias("_v"), F.col(by).alias("_by")) \
+        .groupBy("bin", "_v").agg(F.count(F.lit(1)).alias("_c"), F.min("_by").alias("_lo"), F.max("_by").alias("_hi"))
+    known = F.when(F.col("_v").isNotNull(), F.col("_c"))
+    mean = counted.groupBy("bin").agg(
+        (F.sum(F.col("_v") * F.col("_c")) / F.sum(known)).alias("mean"), F.min("_lo").alias("lowest"),
+        F.max("_hi").alias("highest"), F.sum("_c").alias("n"))
+    median = exact_quantiles(counted, "_v", [0.5], ["bin"], "_c").select("bin", F.col("q")[0].alias("median"))
     return mean.join(median, "bin", "left")
 
 

@@ -17,9 +17,11 @@ SLICES = 64
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = (),
-                    slices: int = SLICES) -> DataFrame:
+                    count: str | None = None, slices: int = SLICES) -> DataFrame:
     """Linear-interpolation quantiles per group: ``keys``, ``n`` and ``q`` (array as ``probs``).
 
+    ``count`` names a column saying how many rows each row stands for.
+
     1. count every distinct value per group (combines on the map side);
     2. cut each group's values into slices at approximate quantiles - they only balance work,
        the result does not depend on them;
@@ -29,42 +31,49 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Seq
     group = keys or ["_all"]
     base = df if keys else df.withColumn("_all", F.lit(0))
     x, n = F.col("_x"), F.col("_n")
-    counts = (base.select(*group, F.col(value).cast("double").alias("_x")).where(x.isNotNull() & ~F.isnan(x))
-              .groupBy(*group, "_x").agg(F.count(F.lit(1)).alias("_n")))
-    cuts = counts.groupBy(*group).agg(
-        F.percentile_approx("_x", [i / slices for i in range(1, slices)], 10 * slices).alias("_cuts"))
-    sliced = _join(counts, cuts, group).withColumn(
-        "_slice", F.size(F.filter("_cuts", lambda e: e < x))).drop("_cuts")
+    weight = F.col(count) if count else F.lit(1)
+    counts = (base.select(*group, F.col(value).cast("double").alias("_x"), weight.alias("_w"))
+              .where(x.isNotNull() & ~F.isnan(x)).groupBy(*group, "_x").agg(F.sum("_w").alias("_n")))
+    edges = F.percentile_approx("_x", [i / slices for i in range(1, slices)], 10 * slices).alias("_cuts")
+    cut = (_join(counts, counts.groupBy(*group).agg(edges), group) if keys
+           else counts.withColumn("_cuts", counts.agg(edges).scalar()))
+    sliced = cut.withColumn("_slice", F.size(F.filter("_cuts", lambda e: e < x))).drop("_cuts")
+
+    # From here to `hits` there are at most `slices` rows, then `2 * len(probs)`, per group.
     totals = sliced.groupBy(*group, "_slice").agg(F.sum("_n").alias("_total"))
-    # At most `slices` rows per group from here on.
     order = Window.partitionBy(*group).orderBy("_slice")
-    ranked = totals.withColumns({
-        "_before": F.sum("_total").over(order) - F.col("_total"),
-        "_size": F.sum("_total").over(Window.partitionBy(*group)),
-    })
-    wanted = [(p, F.lit(float(p)) * (F.col("_size") - 1)) for p in probs]
-    holds = F.lit(False)
-    for _, rank in wanted:
-        for place in (F.floor(rank), F.ceil(rank)):
-            holds |= (place >= F.col("_before")) & (place < F.col("_before") + F.col("_total"))
-    hit = _join(sliced, ranked.where(holds).drop("_total"), [*group, "_slice"])
+    running = totals.withColumn("_before", F.sum("_total").over(order) - F.col("_total"))
+    spans = running.groupBy(*group).agg(F.collect_list(F.struct("_slice", "_before", "_total")).alias("_spans"),
+                                        F.sum("_total").alias("_size"))
+    wanted = spans.select(*group, "_spans", "_size", F.explode(_places(probs, F.col("_size"))).alias("_p"))
+    span = F.element_at(F.filter("_spans", lambda s: (s["_before"] <= F.col("_p.place"))
+                                 & (F.col("_p.place") < s["_before"] + s["_total"])), 1)
+    hits = (wanted.select(*group, "_size", "_p", span.alias("_span"))
+            .groupBy(*group, "_size", F.col("_span._slice").alias("_slice"), F.col("_span._before").alias("_before"))
+            .agg(F.collect_list("_p").alias("_places")))
+
+    inside = _join(sliced, hits, [*group, "_slice"])
     upto = F.sum("_n").over(Window.partitionBy(*group, "_slice").orderBy("_x")
                             .rowsBetween(Window.unboundedPreceding, 0))
-    placed = hit.withColumn("_end", F.col("_before") + upto).withColumn("_start", F.col("_end") - n)
-
-    def at(place: Column) -> Column:
-        return F.max(F.when((place >= F.col("_start")) & (place < F.col("_end")), x))
-
-    ends = placed.groupBy(*group).agg(
-        F.max("_size").alias("n"),
-        *[at(F.floor(rank)).alias(f"_lo{i}") for i, (_, rank) in enumerate(wanted)],
-        *[at(F.ceil(rank)).alias(f"_hi{i}") for i, (_, rank) in enumerate(wanted)])
-    out = []
-    for i, p in enumerate(probs):
-        rank = F.lit(float(p)) * (F.col("n") - 1)
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        out.append(lo + (hi - lo) * (rank - F.floor(rank)))
-    return ends.select(*keys, "n", F.array(*out).alias("q"))
+    ranked = inside.withColumn("_end", F.col("_before") + upto)
+    here = F.filter("_places", lambda p: (p["place"] >= F.col("_end") - n) & (p["place"] < F.col("_end")))
+    found = ranked.select(*group, "_size", "_x", F.explode(here).alias("_p"))
+    each = found.groupBy(*group, "_size", F.col("_p.prob").alias("prob")).agg(
+        F.sum(F.col("_p.weight") * x).alias("v"))
+    return (each.groupBy(*group, "_size").agg(F.array_sort(F.collect_list(F.struct("prob", "v"))).alias("_q"))
+            .select(*keys, F.col("_size").alias("n"), F.col("_q.v").alias("q")))
+
+
+def _places(probs: Sequence[float], size: Column) -> Column:
+    """Zero-based ranks each quantile lies on or between, with their weights."""
+    def two(p: Column, i: Column) -> Column:
+        rank = p * (size - 1)
+        low = F.floor(rank)
+        return F.array(F.struct(i.alias("prob"), low.alias("place"), (1 - (rank - low)).alias("weight")),
+                       F.struct(i.alias("prob"), (low + 1).alias("place"), (rank - low).alias("weight")))
+
+    both = F.flatten(F.transform(F.array(*[F.lit(float(p)) for p in probs]), two))
+    return F.filter(both, lambda p: p["weight"] > 0)
 
 
 def _join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
