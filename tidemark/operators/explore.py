@@ -58,10 +58,12 @@ def quantile_bins(df: DataFrame, by: str, value: str, bins: int = 10) -> DataFra
     Bins close on the right, the lowest value joins the first bin and repeated edges merge,
     so equal values never split across bins.
     """
-    edges = exact_quantiles(df, by, [i / bins for i in range(bins + 1)]).select(
-        F.array_distinct("q").alias("edges"))
-    rows = df.where(F.col(by).isNotNull()).withColumn("_edges", edges.scalar())
-    number = F.greatest(F.size(F.filter("_edges", lambda e: e < F.col(by))), F.lit(1))
+    # At most bins + 1 numbers come to the driver and go back as literals.
+    found = exact_quantiles(df, by, [i / bins for i in range(bins + 1)]).select("q").first()
+    edges = sorted(set(found.q)) if found else []
+    rows = df.where(F.col(by).isNotNull() & ~F.isnan(F.col(by).cast("double")))
+    below = sum([F.when(F.lit(e) < F.col(by), 1).otherwise(0) for e in edges], F.lit(0))
+    number = F.greatest(below, F.lit(1))
     # Counted per bin and value once; mean and median both start from there.
     counted = rows.select(number.alias("bin"), F.col(value).cast("double").alias("_v"), F.col(by).alias("_by")) \
         .groupBy("bin", "_v").agg(F.count(F.lit(1)).alias("_c"), F.min("_by").alias("_lo"), F.max("_by").alias("_hi"))

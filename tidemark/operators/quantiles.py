@@ -34,22 +34,26 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Seq
     weight = F.col(count) if count else F.lit(1)
     counts = (base.select(*group, F.col(value).cast("double").alias("_x"), weight.alias("_w"))
               .where(x.isNotNull() & ~F.isnan(x)).groupBy(*group, "_x").agg(F.sum("_w").alias("_n")))
-    edges = F.percentile_approx("_x", [i / slices for i in range(1, slices)], 10 * slices).alias("_cuts")
-    cut = (_join(counts, counts.groupBy(*group).agg(edges), group) if keys
-           else counts.withColumn("_cuts", counts.agg(edges).scalar()))
+    # Every branch below reads both columns of `counts`, so its shuffle is done once and reused.
+    edges = [F.percentile_approx("_x", [i / slices for i in range(1, slices)], 10 * slices).alias("_cuts"),
+             F.sum("_n").alias("_size")]
+    if keys:
+        cut = _join(counts, counts.groupBy(*group).agg(*edges), group)
+    else:
+        cut = counts.withColumn("_c", counts.agg(*edges).select(F.struct("*")).scalar()).select(*counts.columns, "_c.*")
     sliced = cut.withColumn("_slice", F.size(F.filter("_cuts", lambda e: e < x))).drop("_cuts")
 
     # From here to `hits` there are at most `slices` rows, then `2 * len(probs)`, per group.
-    totals = sliced.groupBy(*group, "_slice").agg(F.sum("_n").alias("_total"))
+    totals = sliced.groupBy(*group, "_size", "_slice").agg(F.sum("_n").alias("_total"))
     order = Window.partitionBy(*group).orderBy("_slice")
     running = totals.withColumn("_before", F.sum("_total").over(order) - F.col("_total"))
-    spans = running.groupBy(*group).agg(F.collect_list(F.struct("_slice", "_before", "_total")).alias("_spans"),
-                                        F.sum("_total").alias("_size"))
-    wanted = spans.select(*group, "_spans", "_size", F.explode(_places(probs, F.col("_size"))).alias("_p"))
+    spans = running.groupBy(*group, "_size").agg(
+        F.collect_list(F.struct("_slice", "_before", "_total")).alias("_spans"))
+    wanted = spans.select(*group, "_spans", F.explode(_places(probs, F.col("_size"))).alias("_p"))
     span = F.element_at(F.filter("_spans", lambda s: (s["_before"] <= F.col("_p.place"))
                                  & (F.col("_p.place") < s["_before"] + s["_total"])), 1)
-    hits = (wanted.select(*group, "_size", "_p", span.alias("_span"))
-            .groupBy(*group, "_size", F.col("_span._slice").alias("_slice"), F.col("_span._before").alias("_before"))
+    hits = (wanted.select(*group, "_p", span.alias("_span"))
+            .groupBy(*group, F.col("_span._slice").alias("_slice"), F.col("_span._before").alias("_before"))
             .agg(F.collect_list("_p").alias("_places")))
 
     inside = _join(sliced, hits, [*group, "_slice"])
