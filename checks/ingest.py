@@ -75,6 +75,21 @@ def _(spark, sf):
     return files.skip_seen(listed, files.stored_files(p.where(F.col("source") == "mmsdm")))
 
 
+@query("seen_manifest", """
+    SELECT DISTINCT t.table_name, p.source_file AS name FROM a_price p
+    CROSS JOIN (SELECT unnest(['dispatchprice', 'dispatchregionsum']) AS table_name) t
+    WHERE NOT EXISTS (SELECT 1 FROM a_price s WHERE s.source_file = p.source_file
+      AND s.source = CASE t.table_name WHEN 'dispatchprice' THEN 'mmsdm' ELSE 'report_archive' END)""")
+def _(spark, sf):
+    """Each table is missing the files it has not stored, whatever its sibling holds."""
+    p = base.a_price(spark, sf)
+    stored = {"dispatchprice": p.where(F.col("source") == "mmsdm"),
+              "dispatchregionsum": p.where(F.col("source") == "report_archive")}
+    listed = p.select(F.col("source_file").alias("name")).distinct()
+    wanted = tables.union_all([listed.select(F.lit(t).alias("table_name"), "name") for t in stored])
+    return files.skip_seen(wanted, files.seen_manifest(stored))
+
+
 LABELS = {"view": "PREDISPATCHREGION_PRICES", "click": "PREDISPATCHREGION_SOLUTION", "error": "DISPATCHPRICE"}
 
 

@@ -64,6 +64,16 @@ def test_no_python_and_no_cross_join(spark, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_merge_looks_only_where_the_batch_is(spark):
+    spec = SPECS["dispatchprice"]
+    path = shared_folder(spark, "plan")
+    merge.write_partitioned(base.a_price(spark, SF), spec, path)
+    batch = base.a_price(spark, SF).where(F.col("settlementdate") > F.lit("2024-01-20").cast("timestamp_ntz"))
+    new = merge.merge_into(spark, path, batch, spec, [F.col("event_id")], dry_run=True)
+    assert re.search(r"PartitionFilters: \[.*year", plan_of(new)) and "GreaterThanOrEqual(settlementdate" in plan_of(new)
+    assert new.count() == 0
+
+
 def test_year_bound_follows_a_merge_window(spark):
     spec = SPECS["dispatchprice"]
     path = shared_folder(spark, "plan")

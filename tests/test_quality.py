@@ -159,3 +159,9 @@ def test_profile_matches_duckdb(spark):
         want = con.execute(f"SELECT count(*), count(*) - count({c}), count(DISTINCT {c}) FROM "
                            "'/root/testdata/sf0.001/events.parquet'").fetchone()
         assert got[c] == want
+
+
+def test_estimated_profile(spark):
+    df = spark.range(50).select("id", F.when(F.col("id") > 9, 1).alias("v"))
+    got = {r.column_name: (r.n_rows, r.n_null, r.n_distinct, r.dtype) for r in quality.profile_columns(df, exact=False).collect()}
+    assert got["v"] == (50, 10, 1, "int") and got["id"][:2] == (50, 0) and 45 <= got["id"][2] <= 55

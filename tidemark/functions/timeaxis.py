@@ -6,6 +6,8 @@ trading day of a label is the date 245 minutes earlier (04:05 opens a day, 04:00
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,13 @@ def ntz(c: Column) -> Column:
     return c.cast("timestamp_ntz")
 
 
+def literal(value) -> Column:
+    """Literal of a Python value; a datetime stays market time whatever zone the driver is in."""
+    if isinstance(value, dt.datetime):
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value)
+
+
 def trading_day(ts: Column, offset_minutes: int = fv.DAY_OFFSET_MINUTES) -> Column:
     return (ts - minutes(offset_minutes)).cast("date")
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import timeaxis
 from tidemark.operators import clean
 from tidemark.sources import tables
 from tidemark.specs import TableSpec
@@ -144,17 +145,31 @@ def write_sorted(df: DataFrame, spec: TableSpec, path: str, mode: str = "overwri
      .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("yyyymm").parquet(path))
 
 
+def time_bounds(df: DataFrame, time_col: str) -> Window | None:
+    """Half-open window around the times of a batch; None when it has none."""
+    lo, hi = df.agg(F.min(time_col), F.max(time_col)).first()
+    if lo is None:
+        return None
+    return timeaxis.literal(lo), timeaxis.literal(hi) + F.expr("INTERVAL '0.000001' SECOND")
+
+
 def merge_into(spark: SparkSession, path: str, incoming: DataFrame, spec: TableSpec, order: Sequence[Column],
                window: Window | None = None, dry_run: bool = False, keep_revisions: bool = False) -> DataFrame:
     """Merge rows into a stored table by key and return what was (or would be) appended.
 
-    The append reads the table's files as they were when the merge was planned and only adds
+    Only the stored years and row groups the batch's times fall in are looked up, so the cost
+    of a merge follows the batch and not the table.  Rows without a time are left out.  The
+    append reads the table's files as they were when the merge was planned and only adds
     files, so running the same batch again adds nothing.  One writer per table.
     """
-    schema = spec.stored_schema
-    stored = tables.scan_or_empty(spark, path, schema)
-    new = merge_new(stored, incoming, spec.key, order, spec.time_col, window, keep_revisions)
-    if not dry_run:
-        columns = [c for c in spec.schema.names if c in new.columns]
-        write_partitioned(new.select(*columns), spec, path)
-    return new
+    incoming = incoming.where(F.col(spec.time_col).isNotNull()).persist()
+    try:
+        bounds = window or time_bounds(incoming, spec.time_col)
+        stored = tables.scan_or_empty(spark, path, spec.stored_schema)
+        new = merge_new(stored, incoming, spec.key, order, spec.time_col, bounds, keep_revisions)
+        if bounds is not None and not dry_run:
+            columns = [c for c in spec.schema.names if c in new.columns]
+            write_partitioned(new.select(*columns), spec, path)
+        return new
+    finally:
+        incoming.unpersist()

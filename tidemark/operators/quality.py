@@ -135,13 +135,20 @@ def _long(df: DataFrame, columns: Sequence[str], value_type: str) -> DataFrame:
     return df.select(F.explode(pairs).alias("p")).select("p.*")
 
 
-def profile_columns(df: DataFrame) -> DataFrame:
+def profile_columns(df: DataFrame, exact: bool = True) -> DataFrame:
     """Type, nulls, distinct values and row count of every column.
 
     Values are counted per (column, value) with a map-side combine, so a frequent value costs
-    one row per task.
+    one row per task.  Distinct values of wide unique columns still have to be shuffled;
+    ``exact=False`` estimates them in one pass without a shuffle.
     """
     kinds = F.create_map(*[F.lit(v) for c, t in df.dtypes for v in (c, t)])
+    if not exact:
+        cells = [F.struct(F.lit(c).alias("column_name"), F.count(F.lit(1)).alias("n_rows"),
+                          F.count_if(F.col(c).isNull()).alias("n_null"),
+                          F.approx_count_distinct(c).alias("n_distinct"), F.lit(t).alias("dtype"))
+                 for c, t in df.dtypes]
+        return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
     counted = _long(df, df.columns, "string").groupBy("column_name", "value").agg(
         F.count(F.lit(1)).alias("n"))
     zero = F.lit(0).cast("bigint")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import fixed_values as fv
+from tidemark.functions.timeaxis import literal
 from tidemark.specs import TableSpec
 
 
@@ -37,8 +39,6 @@ def range_last_days(df: DataFrame, spec: TableSpec, as_of: str, days: int, regio
     """The last N days up to the furthest forecast, relative to an explicit day."""
     if not 1 <= days <= 31:
         raise ValueError("days must be 1 to 31")
-    import datetime as dt
-
     today = dt.date.fromisoformat(as_of)
     return range_read(df, spec, str(today - dt.timedelta(days)), str(today + dt.timedelta(ahead)), region)
 
@@ -64,8 +64,8 @@ def page_after(rows: DataFrame, order: Sequence[str], after: Mapping[str, object
     if after:
         lead = order[0]
         mine = F.struct(*order)
-        last = F.struct(*[F.lit(after[c]).alias(c) for c in order])
-        rows = rows.where((F.col(lead) >= F.lit(after[lead])) & (mine > last))
+        last = F.struct(*[literal(after[c]).alias(c) for c in order])
+        rows = rows.where((F.col(lead) >= literal(after[lead])) & (mine > last))
     return rows.orderBy(*order).limit(limit)
 
 

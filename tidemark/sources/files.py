@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.functions import provenance
+from tidemark.sources.tables import union_all
 
 
 def listing(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
@@ -37,9 +40,21 @@ def stored_files(stored: DataFrame, years: list[int] | None = None) -> DataFrame
     return stored.where(F.col("source_file").isNotNull()).select("source_file").distinct()
 
 
+def seen_manifest(stored: Mapping[str, DataFrame], years: list[int] | None = None) -> DataFrame:
+    """(table_name, source_file) of everything stored, per table.
+
+    Keyed by table because a file may be stored for one of its tables and still be missing
+    for the other.
+    """
+    return union_all([stored_files(df, years).select(F.lit(name).alias("table_name"), "source_file")
+                      for name, df in stored.items()])
+
+
 def skip_seen(files: DataFrame, seen: DataFrame, name: str = "name") -> DataFrame:
-    """Files not stored yet."""
-    return files.join(seen.select(F.col("source_file").alias(name)).distinct(), name, "left_anti")
+    """Files not stored yet; per table when both sides say which table."""
+    keys = [c for c in ("table_name",) if c in files.columns and c in seen.columns]
+    known = seen.select(*keys, F.col("source_file").alias(name)).distinct()
+    return files.join(known, [*keys, name], "left_anti")
 
 
 def warehouse_table(label: Column) -> Column:
