@@ -10,12 +10,11 @@ SMALL = "/root/testdata/sf0.001"
 CORE = ["price_final", "regionsum_final", "daily_outcome", "daily_state", "persistence", "day_history", "forecast_2000",
         "forecast_1300", "asof_latest", "features", "features_legacy", "yesterday_join", "run_label", "chrono_split",
         "benchmark_by_region", "null_audit", "quantile_bins", "describe_numeric", "merge_partition", "archive_unpack",
-        "stream_asof_latest", "stream_daily_outcome"]
+        "stream_asof_latest", "stream_daily_outcome", "vintage_trace", "range_page", "named_views"]
 # Days are too sparse at sf0.001 for these to return rows.
 EMPTY_WHEN_SMALL = {"spike_rate_by_region", "spike_rate_by_quarter", "benchmark_by_period", "crosstab", "ratios",
                     "coverage_by_year", "persistence_join", "feature_join_inner", "revisions", "feature_join_legacy",
-                    "safe_columns", "materialise_features", "named_views", "export_training_csv", "spike_autocorr",
-                    "range_page"}
+                    "safe_columns", "materialise_features", "export_training_csv", "spike_autocorr"}
 
 
 @pytest.fixture(scope="module")

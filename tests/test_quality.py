@@ -165,3 +165,8 @@ def test_estimated_profile(spark):
     df = spark.range(50).select("id", F.when(F.col("id") > 9, 1).alias("v"))
     got = {r.column_name: (r.n_rows, r.n_null, r.n_distinct, r.dtype) for r in quality.profile_columns(df, exact=False).collect()}
     assert got["v"] == (50, 10, 1, "int") and got["id"][:2] == (50, 0) and 45 <= got["id"][2] <= 55
+
+
+def test_empty_table_still_lists_its_columns(spark):
+    got = quality.profile_columns(spark.createDataFrame([], "a int, b string")).collect()
+    assert {tuple(r) for r in got} == {("a", 0, 0, 0, "int"), ("b", 0, 0, 0, "string")}

@@ -142,7 +142,6 @@ def profile_columns(df: DataFrame, exact: bool = True) -> DataFrame:
     one row per task.  Distinct values of wide unique columns still have to be shuffled;
     ``exact=False`` estimates them in one pass without a shuffle.
     """
-    kinds = F.create_map(*[F.lit(v) for c, t in df.dtypes for v in (c, t)])
     if not exact:
         cells = [F.struct(F.lit(c).alias("column_name"), F.count(F.lit(1)).alias("n_rows"),
                           F.count_if(F.col(c).isNull()).alias("n_null"),
@@ -152,11 +151,14 @@ def profile_columns(df: DataFrame, exact: bool = True) -> DataFrame:
     counted = _long(df, df.columns, "string").groupBy("column_name", "value").agg(
         F.count(F.lit(1)).alias("n"))
     zero = F.lit(0).cast("bigint")
-    return counted.groupBy("column_name").agg(
+    found = counted.groupBy("column_name").agg(
         F.sum("n").alias("n_rows"),
         F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(zero)).alias("n_null"),
-        F.count("value").alias("n_distinct"),
-    ).withColumn("dtype", kinds[F.col("column_name")])
+        F.count("value").alias("n_distinct"))
+    # From the schema, so that an empty table still lists its columns.
+    named = df.sparkSession.createDataFrame(df.dtypes, "column_name string, dtype string")
+    return named.join(found, "column_name", "left").select(
+        "column_name", *[F.coalesce(c, zero).alias(c) for c in ("n_rows", "n_null", "n_distinct")], "dtype")
 
 
 def null_fraction(df: DataFrame, top: int | None = 15) -> DataFrame:
