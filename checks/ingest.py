@@ -129,7 +129,7 @@ def report_lines(spark, sf) -> DataFrame:
         F.struct((row + 2).alias("line"), price.alias("text")),
         F.struct((row + PER_FILE + 3).alias("line"), state.alias("text")))).alias("l")).select(
         "path", "member", "name", "chunk", "l.*")
-    fixed = [(0, "C,NEMP.WORLD,DISPATCHIS,PUBLIC"),
+    fixed = [(0, "C,MADE UP,REPORT"),
              (1, "I,DISPATCH,PRICE,5,SETTLEMENTDATE,RUNNO,REGIONID,INTERVENTION,RRP,PRICE_STATUS"),
              (PER_FILE + 2, "I,DISPATCH,REGIONSUM,4,REGIONID,SETTLEMENTDATE,INTERVENTION,TOTALDEMAND,AVAILABLELOAD,UIGF,"
                             "AVAILABLEGENERATION"),
