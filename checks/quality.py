@@ -204,7 +204,7 @@ def _(spark, sf):
 
 
 @query("price_histogram", """
-    SELECT regionid, least(floor((rrp + 200) / 700 * 200)::INT + 1, 200) AS bin, count(*) AS n
+    SELECT regionid, least(floor((rrp + 200) / 3.5)::INT + 1, 200) AS bin, count(*) AS n
     FROM a_price WHERE intervention = 0 AND rrp BETWEEN -200 AND 500 GROUP BY ALL""")
 def _(spark, sf):
     return explore.histogram(priced(spark, sf), "rrp", ["regionid"])

@@ -58,9 +58,10 @@ def test_quantile_bins_merge_repeated_edges(spark):
 
 
 def test_histogram_edges(spark):
-    df = spark.createDataFrame([(x,) for x in (-200.0, -200.1, 500.0, 500.1, 0.0, 496.5)], "x double")
+    xs = [-200.1, 500.1, 0.0] + [-200 + 3.5 * k for k in range(201)]  # every bin edge, the top one included
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
     got = {r.bin: r.n for r in explore.histogram(df, "x", []).collect()}
-    want, _ = np.histogram([-200.0, -200.1, 500.0, 500.1, 0.0, 496.5], bins=200, range=(-200, 500))
+    want, _ = np.histogram(xs, bins=200, range=(-200, 500))
     assert got == {i + 1: int(n) for i, n in enumerate(want) if n}
 
 
