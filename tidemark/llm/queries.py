@@ -5,19 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import langid, mixing, quality, simhash, toxicity
+from tidemark.llm.common import fold
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id")) == 2
+    return langid.identify(docs, ~held_out, [F.col("doc_id"), held_out.alias("held_out")])
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    judged = quality.judge(docs, table(spark, sf_dir, "labels"), F.coalesce("lang", F.lit("und")),
+                           fold(F.col("doc_id")) == 2)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept")
+
+
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id")) == 2
+    machine = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.score(docs, machine, [F.col("doc_id"), held_out.alias("held_out")])
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_quality_rules": op7_quality_rules,
+    "op9_mix_sources": op9_mix_sources,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE: dict[str, str] = {}
