@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, mixing, quality, simhash, toxicity
+from tidemark.llm import decontaminate, langid, mixing, quality, simhash, toxicity
 from tidemark.llm.common import fold
 
 
@@ -32,6 +32,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept")
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.col("start").cast("long").alias("start"),
+                        F.col("matched").cast("long").alias("matched"), F.col("item_words").cast("long").alias("item_words"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -49,7 +55,51 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_mix_sources": op9_mix_sources,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE: dict[str, str] = {}
+
+def _mask_words(words: str, at: str, number: int) -> str:
+    return f"'{number}:' || " + " || ' ' || ".join(f"{words}[{at} + {place + 1}]" for place in decontaminate.MASKS[number])
+
+
+_SEEDS = """
+    SELECT {id}, q, {seed} AS seed FROM (SELECT {id}, w, unnest(range(0, len(w) - {span} + 1)) AS q FROM {table})
+"""
+
+
+def _all_seeds(table_: str, id_: str, span_of: list[int]) -> str:
+    return " UNION ALL ".join(_SEEDS.format(id=id_, table=table_, span=span_of[n], seed=_mask_words("w", "q", n))
+                              for n in range(len(decontaminate.MASKS)))
+
+
+_SPANS = [m[-1] + 1 for m in decontaminate.MASKS]
+_TOKENS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
+
+ORACLE: dict[str, str] = {
+    # Seeds as joined words; then every place of a diagonal is compared and windows are summed.
+    "op8_benchmark_decontamination": f"""
+WITH dw AS MATERIALIZED (SELECT doc_id, {_TOKENS} AS w FROM documents WHERE text IS NOT NULL),
+iw AS MATERIALIZED (SELECT item_id, w FROM (SELECT item_id, {_TOKENS} AS w FROM benchmark WHERE text IS NOT NULL)
+                    WHERE len(w) >= {decontaminate.SPAN}),
+ds AS ({_all_seeds("dw", "doc_id", _SPANS)}),
+bs AS ({_all_seeds("iw", "item_id", [decontaminate.SPAN] * len(_SPANS))}),
+diagonals AS MATERIALIZED (SELECT DISTINCT doc_id, item_id, ds.q - bs.q AS start FROM ds JOIN bs USING (seed)),
+places AS (SELECT d.*, len(iw.w) AS n, unnest(range(0, len(iw.w))) AS q, iw.w AS item, dw.w AS doc
+           FROM diagonals d JOIN iw USING (item_id) JOIN dw USING (doc_id)),
+agree AS (SELECT doc_id, item_id, start, n, q,
+                 CASE WHEN start + q >= 0 AND start + q < len(doc) AND doc[start + q + 1] = item[q + 1] THEN 1 ELSE 0 END AS same
+          FROM places),
+windows AS (SELECT *, sum(same) OVER w15 AS in_window, count(*) OVER w15 AS size FROM agree
+            WINDOW w15 AS (PARTITION BY doc_id, item_id, start ORDER BY q
+                           ROWS BETWEEN CURRENT ROW AND {decontaminate.WINDOW - 1} FOLLOWING)),
+scored AS (SELECT doc_id, item_id, start, n, sum(same) AS matched,
+                  max(in_window) FILTER (size = least(n, {decontaminate.WINDOW})) AS best
+           FROM windows GROUP BY doc_id, item_id, start, n)
+SELECT doc_id, item_id, arg_max(start, (matched, -start))::BIGINT AS start, max(matched)::BIGINT AS matched,
+       max(n)::BIGINT AS item_words
+FROM scored WHERE best >= ceil(least(n, {decontaminate.WINDOW}) * {decontaminate.SHARE})
+GROUP BY doc_id, item_id
+""",
+}
