@@ -4,9 +4,10 @@ A text is its set of hashed terms: lower-cased words of letters, and their first
 that inflected forms meet.  The machine adds a weight per term and, for every pair of terms, the
 product of their factors, so a pair can mean what neither term means alone.
 
-Three steps: documents per term and label are counted over all labelled training rows; terms
-whose counts differ between labels beyond chance become features; weights and factors are fitted
-on the driver on at most ``MOST_ROWS`` labelled rows, of which only feature numbers are fetched.
+The machine is fitted on a seeded sample of about ``MOST_ROWS`` labels at most, in three steps:
+documents are counted per term and label; terms whose counts differ between labels beyond chance
+become features; weights and factors are fitted on the driver, which fetches feature numbers only.
+The sample of labels is small enough to be broadcast, so training moves no text.
 Labels are used for training only; ids, languages and sources are never inputs of a score.
 
 Defined cases: a null, empty or wordless text gets the score of a text without features; an id
@@ -24,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import buffer_of, range_hash, slices, word_bounds
+from tidemark.llm.common import buffer_of, cut, range_hash, slices, word_bounds
 
 BITS = 18
 STEM = 5
 #: Least log-likelihood ratio of a term against the labels; beyond chance over all buckets.
 LEAST_GAIN = 30.0
 MOST_TERMS = 4096
-MOST_ROWS = 20_000
+MOST_ROWS = 40_000
 FACTORS = 4
 STEPS = 300
 RATE = 0.05
@@ -148,17 +149,20 @@ def gain(toxic: np.ndarray, clean: np.ndarray, toxic_rows: int, clean_rows: int)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str, text_col: str,
-             label_col: str) -> DataFrame:
-    """``text`` and ``toxic`` of the training rows; one label per id."""
-    marks = (labels.select(F.col(id_col).alias("marked_id"), F.col(label_col).cast("int").alias("mark"))
+             label_col: str, most_rows: int) -> DataFrame:
+    """``text`` and ``toxic`` of the training rows whose label was drawn; one label per id."""
+    marks = (labels.select(F.col(id_col).alias("marked_id"), (F.col(label_col).cast("int") != 0).cast("int").alias("mark"))
              .filter("marked_id is not null and mark is not null").groupBy("marked_id").agg(F.max("mark").alias("mark")))
+    share = min(1.0, most_rows / max(1, marks.count()))
+    drawn = cut(marks.filter(F.pmod(F.xxhash64(F.lit(17), "marked_id"), F.lit(1_000_000)) < share * 1_000_000))
     rows = docs.filter(train_rows).select(F.col(id_col).alias("row_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.join(marks, F.col("row_id") == F.col("marked_id")).select("text", F.col("mark").alias("toxic"))
+    return (rows.join(F.broadcast(drawn), F.col("row_id") == F.col("marked_id"))  # about most_rows ids
+            .select("text", F.col("mark").alias("toxic")))
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", most_rows: int = MOST_ROWS) -> Machine:
-    rows = labelled(docs, labels, train_rows, id_col, text_col, label_col)
+    rows = labelled(docs, labels, train_rows, id_col, text_col, label_col, most_rows)
 
     def count(batches):
         for batch in batches:
@@ -190,7 +194,6 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "d
     column_of = np.full(1 << BITS, -1, np.int64)
     column_of[np.sort(table[chosen, 0])] = np.arange(len(chosen))
 
-    share = min(1.0, most_rows / max(1, toxic_rows + clean_rows))
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(column_of)
 
@@ -209,11 +212,10 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "d
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64())), pa.array(toxic)],
                                              ["features", "toxic"])
 
-    drawn = (rows.filter(F.pmod(F.xxhash64(F.lit(17), "text"), F.lit(1_000_000)) < share * 1_000_000)
-             .mapInArrow(draw, "features array<long>, toxic long"))
-    # Equal feature sets are fitted once, with their counts, so copies cost nothing.
+    drawn = rows.mapInArrow(draw, "features array<long>, toxic long")
+    # Rows of equal features come back once, with their counts.
     grouped = (drawn.groupBy(F.array_join(F.col("features").cast("array<string>"), " ").alias("f"))
-               .agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).limit(2 * most_rows).collect())
+               .agg(F.sum(F.col("toxic").cast("long")).alias("toxic"), F.count("*").alias("n")).collect())
     grouped = sorted((tuple(int(x) for x in r.f.split()), int(r.toxic), int(r.n)) for r in grouped)
     row, feature, label = [], [], []
     for f, t, n in grouped:
