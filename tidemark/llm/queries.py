@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, mixing, quality, simhash, toxicity
+from tidemark.llm import chat, decontaminate, langid, mixing, quality, simhash, toxicity
 from tidemark.llm.common import fold
 
 
@@ -19,6 +19,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, ~held_out, [F.col("doc_id"), held_out.alias("held_out")])
 
 
+def op2_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = chat.rotate(table(spark, sf_dir, "conversations"))
+    masks = F.array_join(F.transform("masks", lambda m: F.concat_ws("-", m.start, m.stop)), ",")
+    return shown.select("conv_id", "perspective", F.col("part.block").alias("part"), F.col("turns").cast("long").alias("turns"),
+                        "text", masks.alias("masks"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -53,6 +60,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_chat_perspectives": op2_chat_perspectives,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
@@ -78,6 +86,20 @@ _SPANS = [m[-1] + 1 for m in decontaminate.MASKS]
 _TOKENS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
 
 ORACLE: dict[str, str] = {
+    "op2_chat_perspectives": f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text,
+                  (turn // {chat.BLOCK})::BIGINT AS part FROM conversations),
+p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> '{chat.SYSTEM}'),
+heads AS (SELECT t.*, perspective, speaker = perspective AS mine,
+                 CASE WHEN speaker = perspective THEN '<|assistant|>' WHEN speaker = '{chat.SYSTEM}' THEN '<|system|>'
+                      ELSE '<|user name=' || speaker || '|>' END || chr(10) AS head FROM t JOIN p USING (conv_id)),
+lines AS (SELECT *, head || text || '<|end|>' || chr(10) AS line FROM heads),
+placed AS (SELECT *, coalesce(sum(length(line)) OVER (PARTITION BY conv_id, perspective, part ORDER BY turn, speaker, text
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begin_at FROM lines)
+SELECT conv_id, perspective, part, count(*) AS turns, string_agg(line, '' ORDER BY turn, speaker, text) AS text,
+       coalesce(string_agg((begin_at + length(head)) || '-' || (begin_at + length(line)), ',' ORDER BY begin_at) FILTER (mine), '') AS masks
+FROM placed GROUP BY conv_id, perspective, part
+""",
     # Seeds as joined words; then every place of a diagonal is compared and windows are summed.
     "op8_benchmark_decontamination": f"""
 WITH dw AS MATERIALIZED (SELECT doc_id, {_TOKENS} AS w FROM documents WHERE text IS NOT NULL),
