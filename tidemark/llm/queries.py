@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, langid, mixing, quality, simhash, toxicity
+from tidemark.llm import chat, decontaminate, langid, mixing, quality, simhash, suffix_array, suffix_tree, toxicity
 from tidemark.llm.common import fold
 
 
@@ -26,6 +26,16 @@ def op2_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "text", masks.alias("masks"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_tree.dedup(table(spark, sf_dir, "documents"), window=35)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_array.dedup(table(spark, sf_dir, "documents"), length=400)
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -61,6 +71,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_chat_perspectives": op2_chat_perspectives,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
