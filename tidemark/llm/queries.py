@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, langid, mixing, quality, simhash, suffix_array, suffix_tree, toxicity
+from tidemark.llm import chat, decontaminate, langid, mixing, quality, secretscan, simhash, suffix_array, suffix_tree, toxicity
 from tidemark.llm.common import fold
 
 
@@ -31,6 +31,14 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scanner = secretscan.fit(docs, path=F.col("source"))
+    found = secretscan.scan(docs, scanner, [F.col("doc_id")], F.col("source"))
+    return found.select("doc_id", F.col("start").cast("long").alias("start"), F.char_length("value").cast("long").alias("length"),
+                        F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"), "score", "secret")
+
+
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = suffix_array.dedup(table(spark, sf_dir, "documents"), length=400)
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -72,6 +80,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_chat_perspectives": op2_chat_perspectives,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_secret_scans": op4_secret_scans,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_rules": op7_quality_rules,
