@@ -33,7 +33,7 @@ from tidemark.llm.common import (IS_WORD, _BYTE, buffer_of, cut, mix, range_hash
 #: Longest run of window starts in one segment.
 PIECE = 4096
 #: Bytes of content in a shard.
-SHARD = 4 << 20
+SHARD = 1 << 20
 #: Symbols that are hashed at a time.
 CHUNK = 1 << 19
 
