@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words are runs of anything but space and the control characters 9 to 13.
@@ -16,24 +17,37 @@ SPACE = b" \t\n\x0b\x0c\r"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder, so that a lost executor loses no work.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``; only a local session without it gets a
-    temporary folder.
+    Only a local session without that setting gets a temporary folder.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = _LOCAL.setdefault("folder", tempfile.mkdtemp(prefix="tidemark-"))
+    return folder.rstrip("/")
+
+
+_LOCAL: dict[str, str] = {}
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` in the shared folder, so that a lost executor loses no work."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="tidemark-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder as Parquet and read back."""
+    path = f"{shared_folder(df.sparkSession)}/{purpose}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 4; a null id falls in fold 0."""
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 4, F.lit(0))

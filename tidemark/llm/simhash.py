@@ -29,21 +29,28 @@ TILE = 1024
 LARGE_BLOCK = 20_000
 
 
-def fingerprint(text: bytes, width: int, seed: int = SEED) -> int:
-    """Majority of the hash bits over all shingles of ``width`` words, repeats included."""
+def shingle_hashes(text: bytes, width: int, seed: int = SEED) -> np.ndarray:
+    """Hashes of all shingles of ``width`` words, repeats included; a shorter text is one shingle."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends, at = [], -1
     for w in words:
         at += len(w) + 1
         ends.append(at)
-    starts = [0, *[e + 1 for e in ends[:-1]]]
+    starts = [0, *[e + 1 for e in ends[:-1]]][:max(len(words) - width + 1, 1)]
     digest = xxhash.xxh64_intdigest
-    last = max(len(words) - width + 1, 1)
-    hashes = np.array([digest(joined[s:e], seed) for s, e in zip(starts[:last], ends[min(width, len(words)) - 1:])],
-                      np.uint64)
+    return np.array([digest(joined[s:e], seed) for s, e in zip(starts, ends[min(width, len(words)) - 1:])], np.uint64)
+
+
+def fingerprint(text: bytes, width: int, seed: int = SEED) -> int:
+    """Majority of the hash bits over all shingles; zero without words."""
+    return majority(shingle_hashes(text, width, seed))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The number whose bits are set in more than half of the hashes."""
     ones = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 16):
         part = hashes[i:i + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -68,19 +75,22 @@ def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col:
 
 # ------------------------------------------------------------------ tiles
 
-def tile_links(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def linked(radius: int):
     """Links within a tile, or between two, as a spanning forest: at most one per member."""
-    other = a if b is None else b
-    near = np.bitwise_count(a[:, None] ^ other[None, :]) <= radius
-    if b is None:
-        near = np.triu(near, 1)
-    i, j = np.nonzero(near)
-    if not len(i):
-        return a[:0], a[:0]
-    both = a if b is None else np.concatenate([a, b])
-    label = components(len(both), i, j if b is None else j + len(a))
-    moved = np.flatnonzero(label != np.arange(len(both)))
-    return both[label[moved]], both[moved]
+    def compare(a: list[np.ndarray], b: list[np.ndarray] | None) -> tuple[np.ndarray, np.ndarray]:
+        one, other = a[0].view(np.uint64), (a if b is None else b)[0].view(np.uint64)
+        near = np.bitwise_count(one[:, None] ^ other[None, :]) <= radius
+        if b is None:
+            near = np.triu(near, 1)
+        i, j = np.nonzero(near)
+        if not len(i):
+            return a[0][:0], a[0][:0]
+        both = a[0] if b is None else np.concatenate([a[0], b[0]])
+        label = components(len(both), i, j if b is None else j + len(a[0]))
+        moved = np.flatnonzero(label != np.arange(len(both)))
+        return both[label[moved]], both[moved]
+
+    return compare
 
 
 def _beyond(a: np.ndarray, b: np.ndarray, radius: int) -> bool:
@@ -90,99 +100,93 @@ def _beyond(a: np.ndarray, b: np.ndarray, radius: int) -> bool:
 
 def _edges(found) -> pa.RecordBatch:
     parts = list(found)
-    a = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint64)
-    b = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.uint64)
-    return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+    none = np.zeros(0, np.int64)
+    a = np.concatenate([none, *[p[0] for p in parts]])
+    b = np.concatenate([none, *[p[1] for p in parts]])
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+
+def _numbers(batch) -> list[np.ndarray]:
+    return [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+
 
+def sweep(radius: int, compare, tile: int = TILE):
+    """Compare a stream sorted by block: a tile meets the tiles its first block reaches back to.
 
-def sweep(radius: int, tile: int = TILE):
-    """Compare a stream sorted by block: a tile meets the tiles its last block reaches into."""
+    Rows are (block, fingerprint, anything else); ``compare`` gets the columns after the block.
+    """
     def run(batches):
-        waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        waiting: list[tuple[np.ndarray, list[np.ndarray], np.ndarray]] = []
         for batch in batches:
-            block = batch.column(0).to_numpy(zero_copy_only=False)
-            fps = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+            block, *columns = _numbers(batch)
             found = []
-            for s in range(0, len(fps), tile):
-                now, keys = fps[s:s + tile], block[s:s + tile]
-                counts = np.bitwise_count(now)
-                waiting = [w for w in waiting if w[1][-1] == keys[0]]
-                for seen, key, pops in waiting:
-                    mine, theirs = keys == keys[0], key == keys[0]
-                    if mine.any() and theirs.any() and not _beyond(pops[theirs], counts[mine], radius):
-                        found.append(tile_links(seen[theirs], now[mine], radius))
-                found.append(tile_links(now, None, radius))
-                waiting.append((now, keys, counts))
+            for s in range(0, len(block), tile):
+                keys, now = block[s:s + tile], [c[s:s + tile] for c in columns]
+                counts = np.bitwise_count(now[0].view(np.uint64))
+                waiting = [w for w in waiting if w[0][-1] == keys[0]]
+                mine = keys == keys[0]
+                for key, seen, pops in waiting:
+                    theirs = key == keys[0]
+                    if not _beyond(pops[theirs], counts[mine], radius):
+                        found.append(compare([c[theirs] for c in seen], [c[mine] for c in now]))
+                found.append(compare(now, None))
+                waiting.append((keys, now, counts))
             if found:
                 yield _edges(found)
 
     return run
 
 
-def grid(radius: int):
-    """Compare the two sides of tile pairs: rows come sorted by pair, then side."""
+def grid(compare):
+    """Compare the two sides of tile pairs: rows (pair, side, ...) come sorted by pair, then side."""
     def run(batches):
         held: dict = {}
         key = None
 
         def settle():
-            sides = [np.concatenate(held[s]) if held.get(s) else np.zeros(0, np.uint64) for s in (0, 1)]
-            for s in range(0, len(sides[0]), TILE):
-                left = sides[0][s:s + TILE]
-                if not len(sides[1]):
-                    yield tile_links(left, None, radius)
-                    for t in range(s + TILE, len(sides[0]), TILE):
-                        yield tile_links(left, sides[0][t:t + TILE], radius)
-                for t in range(0, len(sides[1]), TILE):
-                    yield tile_links(left, sides[1][t:t + TILE], radius)
+            sides = [[np.concatenate(c) for c in zip(*held[s])] if held.get(s) else None for s in (0, 1)]
+            for s in range(0, len(sides[0][0]) if sides[0] else 0, TILE):
+                left = [c[s:s + TILE] for c in sides[0]]
+                if sides[1] is None:
+                    yield compare(left, None)
+                    for t in range(s + TILE, len(sides[0][0]), TILE):
+                        yield compare(left, [c[t:t + TILE] for c in sides[0]])
+                else:
+                    for t in range(0, len(sides[1][0]), TILE):
+                        yield compare(left, [c[t:t + TILE] for c in sides[1]])
 
         for batch in batches:
-            pair = batch.column(0).to_numpy(zero_copy_only=False)
-            side = batch.column(1).to_numpy(zero_copy_only=False)
-            fps = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
+            pair, side, *columns = _numbers(batch)
             starts = np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]) | (side[1:] != side[:-1])]) if len(pair) else []
             for s, e in zip(starts, [*starts[1:], len(pair)]):
                 if pair[s] != key:
                     if key is not None:
                         yield _edges(settle())
                     held, key = {}, pair[s]
-                held.setdefault(int(side[s]), []).append(fps[s:e])
+                held.setdefault(int(side[s]), []).append([c[s:e] for c in columns])
         if key is not None:
             yield _edges(settle())
 
     return run
 
 
-def links(fps: DataFrame, radius: int, groups: int | None = None, large: int = LARGE_BLOCK) -> DataFrame:
-    """A spanning set of links ``(a, b)`` between distinct fingerprints within ``radius``.
+def compared(blocks: DataFrame, radius: int, compare, large: int = LARGE_BLOCK) -> DataFrame:
+    """Links ``(a, b)`` that ``compare`` finds between rows of equal ``block``.
 
-    ``groups`` bit groups are cut; blocks agree on all but ``radius`` of them.  Blocks above
-    ``large`` are cut into tiles by population count and hash, and every pair of tiles within the
-    radius becomes a group of its own, so no task holds more than two tiles.
+    Blocks above ``large`` rows are cut into tiles by population count and hash, and every pair of
+    tiles within the radius becomes a group of its own, so no task holds more than two tiles.
     """
-    groups = groups or radius + 1
-    cuts = [64 * i // groups for i in range(groups + 1)]
-    masks = [((1 << cuts[i + 1]) - (1 << cuts[i])) for i in range(groups)]
-    kept = []
-    for chosen in combinations(range(groups), groups - radius):
-        mask = sum(masks[i] for i in chosen)
-        kept.append((mask - (1 << 64) if mask >= 1 << 63 else mask))
-    blocks = fps.select(
-        F.explode(F.array(*[F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(m).cast("long")))
-                            for k, m in enumerate(kept)])).alias("block"), "fp")
-    sizes = blocks.groupBy("block").count().filter(F.col("count") > large).withColumnRenamed("block", "big")
-    sizes = cut(sizes)
-    usual = blocks.join(sizes, blocks.block == sizes.big, "left_anti") if sizes.head(1) else blocks
-    found = (usual.repartition("block").sortWithinPartitions("block", F.bit_count("fp"))
-             .mapInArrow(sweep(radius), "a long, b long"))
-    if not sizes.head(1):
+    others = [c for c in blocks.columns if c not in ("block", "fp")]
+    sizes = cut(blocks.groupBy(F.col("block").alias("big")).count().filter(F.col("count") > large))
+    some = bool(sizes.head(1))
+    usual = blocks.join(sizes, blocks.block == sizes.big, "left_anti") if some else blocks
+    found = (usual.select("block", "fp", *others).repartition("block").sortWithinPartitions("block", F.bit_count("fp"))
+             .mapInArrow(sweep(radius, compare), "a long, b long"))
+    if not some:
         return found
-    # Tiles of a large block: its population count, and a hash where one count holds too many.
-    big = blocks.join(sizes, blocks.block == sizes.big).select("block", "fp", F.bit_count("fp").alias("pop"))
-    spread = (big.groupBy("block", "pop").count()
-              .select(F.col("block").alias("in_block"), F.col("pop").alias("other"),
-                      F.ceil(F.col("count") / (4 * TILE)).cast("int").alias("cells")))
-    spread = cut(spread)
+    big = blocks.join(sizes, blocks.block == sizes.big).select("block", "fp", *others, F.bit_count("fp").alias("pop"))
+    spread = cut(big.groupBy(F.col("block").alias("in_block"), F.col("pop").alias("other")).agg(
+        F.ceil(F.count("*") / (4 * TILE)).cast("int").alias("cells")))
     own = spread.select(F.col("in_block").alias("own_block"), F.col("other").alias("own_pop"),
                         F.col("cells").alias("own_cells"))
     near = big.join(own, (F.col("block") == F.col("own_block")) & (F.col("pop") == F.col("own_pop")))
@@ -193,9 +197,27 @@ def links(fps: DataFrame, radius: int, groups: int | None = None, large: int = L
     mine = F.struct(F.col("pop").alias("pop"), F.col("cell").alias("cell"))
     theirs = F.struct(F.col("other").alias("pop"), F.col("other_cell").alias("cell"))
     pairs = rows.select(F.xxhash64("block", F.least(mine, theirs), F.greatest(mine, theirs)).alias("pair"),
-                        F.when(mine <= theirs, 0).otherwise(1).alias("side"), "fp")
+                        F.when(mine <= theirs, 0).otherwise(1).alias("side"), "fp", *others)
     dealt = pairs.repartition("pair").sortWithinPartitions("pair", "side")
-    return found.unionByName(dealt.mapInArrow(grid(radius), "a long, b long"))
+    return found.unionByName(dealt.mapInArrow(grid(compare), "a long, b long"))
+
+
+def links(fps: DataFrame, radius: int, groups: int | None = None, large: int = LARGE_BLOCK) -> DataFrame:
+    """A spanning set of links ``(a, b)`` between distinct fingerprints within ``radius``.
+
+    ``groups`` bit groups are cut; blocks agree on all but ``radius`` of them.
+    """
+    groups = groups or radius + 1
+    cuts = [64 * i // groups for i in range(groups + 1)]
+    masks = [((1 << cuts[i + 1]) - (1 << cuts[i])) for i in range(groups)]
+    kept = []
+    for chosen in combinations(range(groups), groups - radius):
+        mask = sum(masks[i] for i in chosen)
+        kept.append(mask - (1 << 64) if mask >= 1 << 63 else mask)
+    blocks = fps.select(
+        F.explode(F.array(*[F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(m).cast("long")))
+                            for k, m in enumerate(kept)])).alias("block"), "fp")
+    return compared(blocks, radius, linked(radius), large)
 
 
 def connect(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
