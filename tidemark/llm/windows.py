@@ -223,55 +223,72 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
 RUNS = "array<struct<a:int,b:int>>"
 
 
+PRINTS = "array<struct<place:int,print:bigint>>"
+
+
 def indexed(spec: Spec, sorted_contents: DataFrame, index: Index, shard: int = SHARD) -> DataFrame:
-    """Runs of repeated window starts of every content, and fingerprints where a shard may be cut."""
+    """Runs of repeated window starts of every content, and fingerprints where a shard may be cut.
+
+    Fingerprints leave for the anchors that may go on in another shard: those at either end of a
+    partition, and one so hot that a shard is cut inside it.  Of the windows that repeat within the
+    shard one stands for all.
+    """
     runs_type = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+    prints_type = pa.list_(pa.struct([("place", pa.int32()), ("print", pa.int64())]))
 
-    def settle(anchor, content, weight, texts):
+    def settle(held, open_):
+        anchor, content, weight, texts = held
         raw = np.frombuffer(b"".join(texts), np.uint8)
         offsets = np.r_[0, np.cumsum([len(t) for t in texts])].astype(np.int64)
         sym = symbols(spec, raw, offsets)
         again = index(spec, sym, np.array(weight))
         starts = np.maximum(np.diff(sym.at) - spec.width + 1, 0)
-        open_ = {anchor[0], anchor[-1]}
-        runs, prints = [], []
+        runs, prints, told = [], [], {}
         for i, (at, n) in enumerate(zip(sym.at.tolist(), starts.tolist())):
             runs.append([{"a": a, "b": b} for a, b in _runs(again[at:at + n])])
-            if anchor[i] in open_:
-                places = np.arange(at, at + n)
-                prints.append(range_hash(sym.ids[at:at + n + spec.width - 1], places - at, places - at + spec.width).view(np.int64))
-            else:
+            if anchor[i] not in open_:
                 prints.append(None)
+                continue
+            places = np.arange(n)
+            value = range_hash(sym.ids[at:at + n + spec.width - 1], places, places + spec.width).view(np.int64)
+            seen = told.setdefault(anchor[i], set())
+            send = []
+            for place, v, known in zip(places.tolist(), value.tolist(), again[at:at + n].tolist()):
+                if not known or v not in seen:
+                    send.append({"place": place, "print": v})
+                    seen.add(v)
+            prints.append(send)
         return pa.RecordBatch.from_arrays(
             [pa.array(anchor, pa.int64()), pa.array(content, pa.int64()), pa.array(runs, runs_type),
-             pa.array(prints, pa.list_(pa.int64()))], ["anchor", "content", "runs", "prints"])
+             pa.array(prints, prints_type)], ["anchor", "content", "runs", "prints"])
 
     def run(batches):
-        anchor, content, weight, texts, size = [], [], [], [], 0
+        held, size, open_ = ([], [], [], []), 0, None
         for batch in batches:
-            for a, c, w, t in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if size >= shard and (a != anchor[-1] or size >= 2 * shard):
-                    yield settle(anchor, content, weight, texts)
-                    anchor, content, weight, texts, size = [], [], [], [], 0
-                anchor.append(a)
-                content.append(c)
-                weight.append(w)
-                texts.append(t)
-                size += len(t)
-        if anchor:
-            yield settle(anchor, content, weight, texts)
-
-    return sorted_contents.mapInArrow(run, f"anchor long, content long, runs {RUNS}, prints array<long>")
+            for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if open_ is None:
+                    open_ = {row[0]}
+                inside = bool(held[0]) and row[0] == held[0][-1]
+                if size >= 2 * shard or size >= shard and not inside:
+                    yield settle(held, open_ | {row[0]} if inside else open_)
+                    held, size, open_ = ([], [], [], []), 0, {row[0]} if inside else set()
+                for column, value in zip(held, row):
+                    column.append(value)
+                size += len(row[3])
+        if held[0]:
+            yield settle(held, open_ | {held[0][-1]})
+
+    return sorted_contents.mapInArrow(run, f"anchor long, content long, runs {RUNS}, prints {PRINTS}")
 
 
 def merged(found: DataFrame) -> DataFrame:
-    """Window starts of the open anchors that also occur in another content, by binary search.
+    """Window starts of the open anchors that also occur in another shard, by binary search.
 
     Fingerprints are dealt by anchor and value; a task sorts what it gets once and looks every
     fingerprint up.
     """
-    rows = (found.filter("prints is not null").select("anchor", "content", F.posexplode("prints").alias("place", "print"))
-            .repartition("anchor", "print"))
+    rows = found.filter("size(prints) > 0").select("anchor", "content", F.explode("prints").alias("p"))
+    rows = rows.select("anchor", "content", "p.place", "p.print").repartition("anchor", "print")
 
     def run(batches):
         table = [batch for batch in batches if batch.num_rows]
