@@ -221,7 +221,7 @@ def links(fps: DataFrame, radius: int, groups: int | None = None, large: int = L
 
 
 def connect(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
-    """``(node, root)``: the smallest node reachable over ``(a, b)``, for every node with a link.
+    """``(node, root)``: the smallest node reachable over ``(a, b)``, for every node but the roots.
 
     Alternates large-star and small-star steps; each takes a minimum per node (combined before
     the shuffle) and one join, and is cut in the shared folder.

@@ -80,6 +80,10 @@ class Machine:
             pairs += np.bincount(row, weights=v, minlength=rows) ** 2 - np.bincount(row, weights=v * v, minlength=rows)
         return self.bias + linear + pairs / 2
 
+    def base_score(self) -> float:
+        """The score of a text without features."""
+        return float(1 / (1 + np.exp(-np.clip(np.array([self.bias]), -30, 30)))[0])
+
     def score(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         out = np.zeros(len(offsets) - 1)
         for a, b in slices(offsets, 1 << 20):
