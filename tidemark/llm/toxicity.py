@@ -1,7 +1,7 @@
 """Toxicity scores from a factorization machine over hashed terms.
 
-A text is its set of hashed terms: lower-cased words of letters, and their first five letters so
-that inflected forms meet.  The machine adds a weight per term and, for every pair of terms, the
+A text is its set of hashed terms: lower-cased words of letters, and their first four and five
+letters so that inflected forms meet.  The machine adds a weight per term and, for every pair of terms, the
 product of their factors, so a pair can mean what neither term means alone.
 
 The machine is fitted on a seeded sample of about ``MOST_ROWS`` labels at most, in three steps:
@@ -28,9 +28,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import buffer_of, cut, range_hash, slices, word_bounds
 
 BITS = 18
-STEM = 5
-#: Least log-likelihood ratio of a term against the labels; beyond chance over all buckets.
-LEAST_GAIN = 30.0
+STEMS = (4, 5)
+#: A term needs a log-likelihood ratio of twice the logarithm of the number of terms, which about
+#: one of them reaches by chance, and to be in so many documents.
+LEAST_ROWS = 3
 MOST_TERMS = 4096
 MOST_ROWS = 40_000
 FACTORS = 4
@@ -57,10 +58,13 @@ def terms(raw: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tuple[np.nd
     start, end, row = word_bounds(low, offsets, np.arange(256) > 0)
     values = low.astype(np.uint64) + np.uint64(1)
     whole = range_hash(values, start, end)
-    cut = end - start > STEM
-    stem = range_hash(values, start[cut], start[cut] + STEM) + np.uint64(0x5851F42D4C957F2D)
-    buckets = np.concatenate([whole, stem]) >> np.uint64(64 - bits)
-    keys = np.unique(np.concatenate([row, row[cut]]).astype(np.uint64) << np.uint64(bits) | buckets)
+    buckets, rows = [whole], [row]
+    for size in STEMS:
+        longer = end - start > size
+        buckets.append(range_hash(values, start[longer], start[longer] + size) + np.uint64(0x5851F42D4C957F2D))
+        rows.append(row[longer])
+    buckets = np.concatenate(buckets) >> np.uint64(64 - bits)
+    keys = np.unique(np.concatenate(rows).astype(np.uint64) << np.uint64(bits) | buckets)
     return (keys >> np.uint64(bits)).astype(np.int64), (keys & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
@@ -186,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "d
     counted = (rows.mapInArrow(count, "bucket long, toxic long, clean long")
                .groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
     # At most one row per bucket comes back.
-    table = np.array([tuple(r) for r in counted.filter("toxic + clean >= 3").collect()], np.int64).reshape(-1, 3)
+    table = np.array([tuple(r) for r in counted.filter(F.col("toxic") + F.col("clean") >= LEAST_ROWS).collect()], np.int64).reshape(-1, 3)
     whole = table[table[:, 0] == -1]
     if not len(whole):
         whole = np.array([[-1, 0, 0]])
@@ -194,7 +198,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "d
     table = table[table[:, 0] >= 0]
     gains = gain(table[:, 1].astype(float), table[:, 2].astype(float), toxic_rows, clean_rows)
     order = np.lexsort((table[:, 0], -gains))
-    chosen = [i for i in order[:MOST_TERMS] if gains[i] >= LEAST_GAIN]
+    least = 2 * np.log(max(2, len(table)))
+    chosen = [i for i in order[:MOST_TERMS] if gains[i] >= least]
     column_of = np.full(1 << BITS, -1, np.int64)
     column_of[np.sort(table[chosen, 0])] = np.arange(len(chosen))
 
