@@ -67,8 +67,10 @@ def _(spark, sf):
     path = shared_folder(spark, "dry")
     stored, incoming = sides(spark, sf)
     merge.merge_into(spark, path, stored, PRICE, [F.col("event_id")])
-    new = merge.merge_into(spark, path, incoming, PRICE, [F.col("event_id")], dry_run=True)
-    return new.agg(F.count(F.lit(1)).alias("would_append")).select(F.lit(PRICE.name).alias("table_name"), "would_append")
+    told = merge.merge_into(spark, path, incoming, PRICE, [F.col("event_id")], dry_run=True)
+    new, _ = merge.plan_merge(spark, path, incoming, PRICE, [F.col("event_id")])
+    same = new.agg(F.count(F.lit(1)).alias("would_append")).where(F.col("would_append") == told.appended)
+    return same.select(F.lit(PRICE.name).alias("table_name"), "would_append")
 
 
 @query("merge_held", f"SELECT i.event_id FROM a_price i WHERE i.event_id % 3 <> 0 AND {HELD}")
@@ -98,15 +100,47 @@ def _(spark, sf):
     return merge.merge_counts(*sides(spark, sf), KEY)
 
 
+LOGGED = ["job", "batch", "table_name", "window_start", "window_end", "pulled", "appended", "duplicates", "already_held",
+          "status", "message"]
+
+
 @query("batch_log", f"""
-    SELECT 'b1' AS batch_id, 'dispatchprice' AS table_name, '2024-01-05' AS window_start, '2024-01-25' AS window_end,
-      count(*) AS pulled, count(*) FILTER (WHERE NOT h) AS inserted, count(*) FILTER (WHERE h) AS already_held,
-      'success' AS status, 'latest ' || strftime(max(settlementdate), '%Y-%m-%d %H:%M:%S') AS message
-    FROM (SELECT settlementdate, {HELD} AS h FROM a_price i WHERE i.event_id % 3 <> 0)""")
+    WITH i AS (SELECT *, {HELD} AS h FROM a_price i WHERE i.event_id % 3 <> 0)
+    SELECT 'dispatchprice' AS job, 'b1' AS batch, 'dispatchprice' AS table_name, '2024-01-05' AS window_start,
+      '2024-01-25' AS window_end, count(*) AS pulled,
+      count(DISTINCT (regionid, settlementdate, intervention, source)) FILTER (WHERE NOT h) AS appended,
+      count(*) FILTER (WHERE NOT h) - count(DISTINCT (regionid, settlementdate, intervention, source)) FILTER (WHERE NOT h)
+        AS duplicates,
+      count(*) FILTER (WHERE h) AS already_held, 'success' AS status, NULL::VARCHAR AS message FROM i""")
+def _(spark, sf):
+    """A logged merge into a stored table, read back from its log."""
+    root = shared_folder(spark, "log")
+    stored, incoming = sides(spark, sf)
+    merge.merge_into(spark, f"{root}/t", stored, PRICE, [F.col("event_id")])
+    batchlog.merge_all(spark, f"{root}/log", "b1", [(PRICE, f"{root}/t", lambda: incoming, [F.col("event_id")])], WINDOW)
+    return batchlog.trail(spark, f"{root}/log").select(*LOGGED)
+
+
+@query("batch_log_runs", """
+    WITH k AS (SELECT regionid, settlementdate, intervention, source, count(*) FILTER (WHERE event_id % 3 <> 2) AS a,
+                 count(*) FILTER (WHERE event_id % 3 <> 0) AS b FROM a_price GROUP BY ALL)
+    SELECT 'first' AS batch, sum(a)::BIGINT AS pulled, count(*) FILTER (WHERE a > 0) AS appended,
+      (sum(a) - count(*) FILTER (WHERE a > 0))::BIGINT AS duplicates, 0::BIGINT AS already_held, 'success' AS status FROM k
+    UNION ALL SELECT 'second', sum(b)::BIGINT, count(*) FILTER (WHERE a = 0),
+      (sum(CASE WHEN a = 0 THEN b - 1 ELSE 0 END))::BIGINT, coalesce(sum(CASE WHEN a > 0 THEN b END), 0)::BIGINT, 'success' FROM k
+    UNION ALL SELECT 'third', 0, 0, 0, 0, 'failed'""")
 def _(spark, sf):
+    """Two batches, both tried again, and one whose source fails: what the log says of each."""
+    root = shared_folder(spark, "runs")
     stored, incoming = sides(spark, sf)
-    counts = merge.merge_counts(stored, incoming, KEY, "settlementdate", bounds(), null_safe=False)
-    return batchlog.log_row(counts, "b1", "dispatchprice", WINDOW, incoming.agg(F.max("settlementdate")))
+
+    def broken():
+        raise RuntimeError("feed is down")
+
+    for batch, load in [("first", lambda: stored), ("second", lambda: incoming), ("first", lambda: stored),
+                        ("third", broken), ("second", lambda: incoming)]:
+        batchlog.merge_once(spark, f"{root}/log", "prices", batch, f"{root}/t", PRICE, load, [F.col("event_id")])
+    return batchlog.trail(spark, f"{root}/log").select("batch", "pulled", "appended", "duplicates", "already_held", "status")
 
 
 def dated_orders(spark, sf) -> DataFrame:

@@ -10,7 +10,7 @@ from checks.base import query, rnd, rounded
 from checks.ingest import archives
 from checks.points import OUTCOME
 from checks.storage import FIRST, KEY, PRICE
-from tidemark.operators import clean
+from tidemark.operators import batchlog, clean
 from tidemark.session import shared_folder
 from tidemark.specs import SPECS
 from tidemark.streaming import jobs
@@ -42,20 +42,24 @@ def _(spark, sf):
 
 
 @query("stream_batch_log", """
-    SELECT 'dispatchprice' AS table_name, 'success' AS status, count(*) AS pulled,
-      count(*) - count(DISTINCT (regionid, settlementdate, intervention, source)) AS already_held,
-      count(DISTINCT (regionid, settlementdate, intervention, source)) AS inserted FROM a_price""")
+    SELECT 'prices' AS job, 'dispatchprice' AS table_name, 'success' AS status, count(*) AS pulled,
+      count(DISTINCT (regionid, settlementdate, intervention, source)) AS appended,
+      count(*) - count(DISTINCT (regionid, settlementdate, intervention, source)) AS duplicates,
+      0::BIGINT AS already_held FROM a_price""")
 def _(spark, sf):
-    """Landed in key order, so a key never spans two batches and totals do not depend on them."""
+    """The logged counts of all batches, after a second run with a lost checkpoint replayed them.
+
+    Landed in key order, so a key never spans two batches and totals do not depend on them.
+    """
     root = shared_folder(spark, "stream-log")
     p = base.a_price(spark, sf).select("event_id", *KEY, "rrp", "known_at", "source_file")
-    stream = landed(spark, p, root, "settlementdate")
-    jobs.finish(jobs.stream_merge(stream, f"{root}/table", PRICE, f"{root}/cp", [F.col("event_id")], f"{root}/log",
-                                  name="prices"))
-    log = spark.read.parquet(f"{root}/log")
-    stored = spark.read.schema(PRICE.schema).parquet(f"{root}/table").select(F.count(F.lit(1)))
-    return log.groupBy("table_name", "status").agg(F.sum("pulled").alias("pulled")).withColumns({
-        "inserted": stored.scalar()}).withColumn("already_held", F.col("pulled") - F.col("inserted"))
+    land(p, f"{root}/landing", "settlementdate")
+    for checkpoint in ("cp1", "cp2"):
+        stream = jobs.landed(spark, f"{root}/landing", p.schema)
+        jobs.finish(jobs.stream_merge(stream, f"{root}/table", PRICE, f"{root}/{checkpoint}", [F.col("event_id")],
+                                      f"{root}/log", name="prices"))
+    return batchlog.trail(spark, f"{root}/log").groupBy("job", "table_name", "status").agg(
+        *[F.sum(c).alias(c) for c in ("pulled", "appended", "duplicates", "already_held")])
 
 
 @query("stream_ingest", """

@@ -69,7 +69,7 @@ def test_merge_looks_only_where_the_batch_is(spark):
     path = shared_folder(spark, "plan")
     merge.write_partitioned(base.a_price(spark, SF), spec, path)
     batch = base.a_price(spark, SF).where(F.col("settlementdate") > F.lit("2024-01-20").cast("timestamp_ntz"))
-    new = merge.merge_into(spark, path, batch, spec, [F.col("event_id")], dry_run=True)
+    new, _ = merge.plan_merge(spark, path, batch, spec, [F.col("event_id")])
     assert re.search(r"PartitionFilters: \[.*year", plan_of(new)) and "GreaterThanOrEqual(settlementdate" in plan_of(new)
     assert new.count() == 0
 

@@ -49,7 +49,7 @@ def test_merge_does_not_depend_on_row_order(spark):
 
 def test_dry_run_writes_nothing(spark):
     path = shared_folder(spark, "t")
-    assert merge.merge_into(spark, path, rows(spark, BATCH), PRICE, [F.col("n")], dry_run=True).count() == 2
+    assert merge.merge_into(spark, path, rows(spark, BATCH), PRICE, [F.col("n")], dry_run=True).appended == 2
     assert tables.scan_or_empty(spark, path, PRICE.schema).count() == 0
 
 
@@ -88,20 +88,41 @@ def test_layers_meet_at_the_cutoff(spark):
     assert sorted(r.rrp for r in got.collect()) == [1.0, 50.0]
 
 
+def counts(r):
+    return (r.pulled, r.appended, r.duplicates, r.already_held, r.status)
+
+
 def test_batch_log_records_success_and_failure(spark):
     path, log = shared_folder(spark, "t"), shared_folder(spark, "log")
-    window = ("2023-12-01", "2024-02-01")
-    batch = rows(spark, BATCH[:2]).drop("n")
+    window, order = ("2023-12-01", "2024-02-01"), [F.col("rrp")]
+    batch = rows(spark, BATCH).drop("n")
 
     def broken():
-        raise RuntimeError("feed is down")
-
-    assert batchlog.run_logged(spark, log, "b1", path, PRICE, lambda: batch, window) == "success"
-    assert batchlog.run_logged(spark, log, "b2", path, PRICE, lambda: batch, window) == "success"
-    assert not batchlog.run_all(spark, log, "b3", [(PRICE, path, broken)], window)
-    got = {r.batch_id: (r.pulled, r.inserted, r.already_held, r.status) for r in spark.read.parquet(log).collect()}
-    assert got == {"b1": (2, 2, 0, "success"), "b2": (2, 0, 2, "success"), "b3": (0, 0, 0, "failed")}
-    assert spark.read.parquet(log).where("batch_id = 'b3'").first().message == "feed is down"
+        raise RuntimeError("feed is down" + "." * 5000)
+
+    def one(job, load):
+        return batchlog.merge_all(spark, log, job, [(PRICE, path, load, order)], window)[PRICE.name]
+
+    assert one("b1", lambda: batch) == one("b2", lambda: batch) == "success"
+    assert one("b3", broken) == "failed"
+    got = {r.batch: r for r in batchlog.trail(spark, log).collect()}
+    assert counts(got["b1"]) == (3, 2, 1, 0, "success") and counts(got["b2"]) == (3, 0, 0, 3, "success")
+    assert counts(got["b3"]) == (0, 0, 0, 0, "failed") and len(got["b3"].message) == 5012
+    assert one("b3", lambda: batch) == "success"  # a failed batch may be tried again
+    import os
+    assert not [f for f in os.listdir(os.path.dirname(path)) if f.startswith(os.path.basename(path) + "-stage")]
+
+
+def test_a_crash_between_append_and_close_keeps_the_planned_counts(spark):
+    path, log = shared_folder(spark, "t"), shared_folder(spark, "log")
+    batch, order = rows(spark, BATCH).drop("n"), [F.col("rrp")]
+    assert batchlog.merge_once(spark, log, "j", "1", path, PRICE, lambda: batch, order) == "success"
+    tables.drop(spark, f"{log}/phase=closed/job=j/batch=1")
+    assert [r.status for r in batchlog.trail(spark, log).collect()] == ["open"]
+    for _ in range(2):
+        assert batchlog.merge_once(spark, log, "j", "1", path, PRICE, lambda: batch, order) == "success"
+        assert [counts(r) for r in batchlog.trail(spark, log).collect()] == [(3, 2, 1, 0, "success")]
+    assert stored(spark, path).count() == 2
 
 
 def test_pages_cover_the_range_once(spark):

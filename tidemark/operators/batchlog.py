@@ -1,69 +1,101 @@
-"""One audit row per table and merge run, written on failure too."""
+"""An audit trail of merges that survives replays.
+
+Every (job, batch) has a folder of entries under the log.  Before rows are appended the counts of
+the merge are *planned* there; after the append the batch is *closed*.  A batch that is closed is
+not merged again.  One that was planned but not closed (the process died in between) is merged
+again, which adds only what is missing, and closed with the counts that were planned, so the trail
+says what the batch did however often it was tried.  A failure leaves an entry of its own and the
+next try may still close the batch.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import merge
 from tidemark.sources import tables
 from tidemark.specs import TableSpec
 
-SCHEMA = ("batch_id string, table_name string, window_start string, window_end string, pulled bigint, "
-          "inserted bigint, already_held bigint, status string, message string, started_at timestamp_ntz, "
-          "finished_at timestamp_ntz")
+ENTRY = ("table_name string, window_start string, window_end string, pulled bigint, appended bigint, duplicates bigint, "
+         "already_held bigint, message string, at timestamp_ntz")
+#: Folders of the log, in the order in which an entry overrides another.
+PHASES = ("failed", "planned", "closed")
+
+
+def entries(spark: SparkSession, log: str) -> DataFrame:
+    """All entries with their ``job``, ``batch`` and ``phase``."""
+    schema = f"{ENTRY}, phase string, job string, batch string"
+    return tables.scan_or_empty(spark, log, spark.createDataFrame([], schema).schema)
+
+
+def trail(spark: SparkSession, log: str) -> DataFrame:
+    """One row per job and batch: its counts, and whether it succeeded, failed or is open."""
+    rank = F.array_position(F.array(*[F.lit(p) for p in PHASES]), F.col("phase"))
+    fields = [c for c in entries(spark, log).columns if c not in ("job", "batch", "phase")]
+    last = entries(spark, log).groupBy("job", "batch").agg(
+        F.max_by(F.struct("phase", *fields), F.struct(rank, F.col("at"))).alias("e"))
+    status = (F.when(F.col("e.phase") == "closed", "success").when(F.col("e.phase") == "failed", "failed")
+              .otherwise("open"))
+    return last.select("job", "batch", "e.table_name", "e.window_start", "e.window_end", "e.pulled", "e.appended",
+                       "e.duplicates", "e.already_held", status.alias("status"), "e.message", F.col("e.at").alias("finished_at"))
+
 
+def _note(spark: SparkSession, log: str, phase: str, job: str, batch: str, entry: dict) -> None:
+    row = {**entry, "at": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)}
+    (spark.createDataFrame([row], ENTRY).coalesce(1).write.mode("overwrite")
+     .parquet(f"{log}/phase={phase}/job={job}/batch={batch}"))
 
-def log_row(counts: DataFrame, batch_id: str, table_name: str, window: tuple[str, str],
-            latest: DataFrame | None = None) -> DataFrame:
-    """Success row of a run from its merge counts, as a frame (no driver round trip)."""
-    message = F.lit("")
-    if latest is not None:
-        message = F.concat(F.lit("latest "), F.coalesce(
-            F.date_format(latest.scalar(), "yyyy-MM-dd HH:mm:ss"), F.lit("none")))
-    return counts.select(
-        F.lit(batch_id).alias("batch_id"), F.lit(table_name).alias("table_name"),
-        F.lit(window[0]).alias("window_start"), F.lit(window[1]).alias("window_end"),
-        "pulled", "inserted", "already_held", F.lit("success").alias("status"), message.alias("message"))
 
+def _noted(spark: SparkSession, log: str, phase: str, job: str, batch: str) -> dict | None:
+    found = tables.scan_or_empty(spark, f"{log}/phase={phase}/job={job}/batch={batch}",
+                                 spark.createDataFrame([], ENTRY).schema).first()
+    return found.asDict() if found else None
 
-def run_logged(spark: SparkSession, log_path: str, batch_id: str, target: str, spec: TableSpec,
-               load: Callable[[], DataFrame], window: tuple[str, str]) -> str:
-    """Load, stage, merge within the window and append one log row; returns the status.
 
-    Rows are staged beside the target (each run replaces the last stage), so counting and
-    inserting read the same rows and a slow load runs once.
+def merge_once(spark: SparkSession, log: str, job: str, batch: str, target: str, spec: TableSpec,
+               load: Callable[[], DataFrame], order: Sequence[Column], window: tuple[str, str] | None = None,
+               stage: bool = False) -> str:
+    """Merge what ``load`` gives, once per (job, batch); returns "success" or "failed".
+
+    With ``stage`` the rows are first written to a folder of this run, which is always dropped, so
+    that a slow or changing source is read once.
     """
-    started = _now()
-    row = dict(batch_id=batch_id, table_name=spec.name, window_start=window[0], window_end=window[1],
-               pulled=0, inserted=0, already_held=0, status="failed", message="", started_at=started)
+    if _noted(spark, log, "closed", job, batch):
+        return "success"
+    entry = dict(table_name=spec.name, window_start=window[0] if window else None, window_end=window[1] if window else None,
+                 pulled=0, appended=0, duplicates=0, already_held=0, message=None)
+    bounds = tuple(F.to_timestamp_ntz(F.lit(f"{d} 00:00:00")) for d in window) if window else None
+    staged = f"{target.rstrip('/')}-stage-{uuid.uuid4().hex}" if stage else None
+    planned: dict = {}
+
+    def plan(counts: merge.Merged) -> None:
+        planned.update(_noted(spark, log, "planned", job, batch) or {**entry, **counts._asdict()})
+        _note(spark, log, "planned", job, batch, {k: planned[k] for k in entry})
+
     try:
-        bounds = tuple(F.to_timestamp_ntz(F.lit(f"{d} 00:00:00")) for d in window)
-        stage = f"{target.rstrip('/')}_stage"
-        load().write.mode("overwrite").parquet(stage)
-        staged = spark.read.schema(spec.schema).parquet(stage)
-        stored = tables.scan_or_empty(spark, target, spec.stored_schema)
-        counts = merge.merge_counts(stored, staged, spec.key, spec.time_col, bounds, null_safe=False).first()
-        merge.write_partitioned(merge.missing(stored, staged, spec.key, spec.time_col, bounds), spec, target)
-        latest = tables.scan_or_empty(spark, target, spec.stored_schema).agg(F.max(spec.time_col)).first()[0]
-        row.update(pulled=counts.pulled, inserted=counts.inserted, already_held=counts.already_held,
-                   status="success", message=f"latest {latest}")
-    except Exception as e:  # the log must record any failure, then the caller decides
-        row["message"] = str(e)[:1000]
-    row["finished_at"] = _now()
-    spark.createDataFrame([row], SCHEMA).write.mode("append").parquet(log_path)
-    return row["status"]
-
-
-def run_all(spark: SparkSession, log_path: str, batch_id: str,
-            jobs: Sequence[tuple[TableSpec, str, Callable[[], DataFrame]]], window: tuple[str, str]) -> bool:
-    """Every table of a batch; True when all succeeded."""
-    return all([run_logged(spark, log_path, batch_id, target, spec, load, window) == "success"
-                for spec, target, load in jobs])
-
-
-def _now() -> dt.datetime:
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+        rows = load()
+        if staged:
+            rows.write.parquet(staged)
+            rows = spark.read.schema(rows.schema).parquet(staged)
+        merge.merge_into(spark, target, rows, spec, order, bounds, before=plan)
+        _note(spark, log, "closed", job, batch, {k: planned[k] for k in entry})
+        return "success"
+    except Exception as e:  # any failure is recorded in full; the caller decides what follows
+        _note(spark, log, "failed", job, batch, {**entry, "message": str(e)})
+        return "failed"
+    finally:
+        if staged:
+            tables.drop(spark, staged)
+
+
+def merge_all(spark: SparkSession, log: str, batch: str,
+              jobs: Iterable[tuple[TableSpec, str, Callable[[], DataFrame], Sequence[Column]]],
+              window: tuple[str, str] | None = None) -> dict[str, str]:
+    """Every table of a batch, each on its own; the status of each."""
+    return {spec.name: merge_once(spark, log, spec.name, batch, target, spec, load, order, window, stage=True)
+            for spec, target, load, order in jobs}

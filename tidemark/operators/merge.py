@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -153,23 +154,48 @@ def time_bounds(df: DataFrame, time_col: str) -> Window | None:
     return timeaxis.literal(lo), timeaxis.literal(hi) + F.expr("INTERVAL '0.000001' SECOND")
 
 
-def merge_into(spark: SparkSession, path: str, incoming: DataFrame, spec: TableSpec, order: Sequence[Column],
-               window: Window | None = None, dry_run: bool = False, keep_revisions: bool = False) -> DataFrame:
-    """Merge rows into a stored table by key and return what was (or would be) appended.
+class Merged(NamedTuple):
+    """What a merge did with the rows it was given, which add up to ``pulled``."""
+
+    pulled: int
+    appended: int
+    duplicates: int
+    already_held: int
+
+
+def plan_merge(spark: SparkSession, path: str, incoming: DataFrame, spec: TableSpec, order: Sequence[Column],
+               window: Window | None = None, keep_revisions: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The rows a merge would append, and its counts, as frames.
 
     Only the stored years and row groups the batch's times fall in are looked up, so the cost
-    of a merge follows the batch and not the table.  Rows without a time are left out.  The
-    append reads the table's files as they were when the merge was planned and only adds
-    files, so running the same batch again adds nothing.  One writer per table.
+    of a merge follows the batch and not the table.
+    """
+    bounds = window or time_bounds(incoming, spec.time_col)
+    stored = tables.scan_or_empty(spark, path, spec.stored_schema)
+    key = [*spec.key, "ingested_at"] if keep_revisions else list(spec.key)
+    return (merge_new(stored, incoming, spec.key, order, spec.time_col, bounds, keep_revisions),
+            merge_counts(stored, incoming, key, spec.time_col, bounds))
+
+
+def merge_into(spark: SparkSession, path: str, incoming: DataFrame, spec: TableSpec, order: Sequence[Column],
+               window: Window | None = None, dry_run: bool = False, keep_revisions: bool = False,
+               before: Callable[[Merged], None] | None = None) -> Merged:
+    """Merge rows into a stored table by key and return the counts.
+
+    Rows without a time are left out.  ``before`` sees the counts ahead of the append.  The append
+    reads the table's files as they were when the merge was planned and only adds files, so
+    running the same batch again adds nothing.  One writer per table.
     """
     incoming = incoming.where(F.col(spec.time_col).isNotNull()).persist()
     try:
-        bounds = window or time_bounds(incoming, spec.time_col)
-        stored = tables.scan_or_empty(spark, path, spec.stored_schema)
-        new = merge_new(stored, incoming, spec.key, order, spec.time_col, bounds, keep_revisions)
-        if bounds is not None and not dry_run:
+        new, counts = plan_merge(spark, path, incoming, spec, order, window, keep_revisions)
+        c = counts.first()
+        merged = Merged(c.pulled, c.keys_added, c.inserted - c.keys_added, c.already_held)
+        if before:
+            before(merged)
+        if merged.appended and not dry_run:
             columns = [c for c in spec.schema.names if c in new.columns]
             write_partitioned(new.select(*columns), spec, path)
-        return new
+        return merged
     finally:
         incoming.unpersist()

@@ -32,6 +32,12 @@ def scan_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark keeps it; nothing happens if it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Union by column name; a column one side lacks is null there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

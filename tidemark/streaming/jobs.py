@@ -61,18 +61,15 @@ def stream_merge(stream: DataFrame, target: str, spec: TableSpec, checkpoint: st
                  log_path: str | None = None, name: str = "merge") -> StreamingQuery:
     """Append rows whose key is not stored; late and repeated rows are absorbed by key.
 
-    With ``log_path`` every micro-batch leaves one audit row keyed by query name and batch.
+    With ``log_path`` every micro-batch leaves one audit entry keyed by query name and batch, which
+    a replay of the batch does not change.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        counts = None
-        if log_path:
-            stored = tables.scan_or_empty(spark, target, spec.stored_schema)
-            counts = batchlog.log_row(merge.merge_counts(stored, batch, spec.key), f"{name}-{batch_id}",
-                                      spec.name, ("", ""))
-            # Counted before the append; written to this batch's folder so a retry replaces it.
-            counts.write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
-        merge.merge_into(spark, target, batch, spec, order)
+        if log_path is None:
+            merge.merge_into(spark, target, batch, spec, order)
+        elif batchlog.merge_once(spark, log_path, name, str(batch_id), target, spec, lambda: batch, order) == "failed":
+            raise RuntimeError(f"batch {batch_id} of {name} failed; see {log_path}")
 
     return _start(stream, checkpoint, each)
 
