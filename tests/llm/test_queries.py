@@ -15,7 +15,7 @@ import corpus_pipeline
 from checks.compare import compare, connect
 from tidemark.llm import chat, mixing, nearcopies, quality, secretscan, simhash, suffix_array, suffix_tree, windows
 from tidemark.llm.queries import ORACLE, QUERIES
-from tests.llm.conftest import awkward_rows
+from llm_tables import awkward, awkward_rows, empty  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
 SMALL = "/root/testdata/sf0.001"
@@ -83,18 +83,18 @@ def test_op5_against_counting(spark):
 
 @pytest.mark.parametrize("seed", range(3))
 def test_small_shards_and_alphabets(spark, seed):
-    """Shards of a few bytes cut the contents of most anchors, so most windows are merged across shards."""
+    """With bounds of a few bytes most anchors are split, so most windows are merged across shards."""
     chance = random.Random(seed)
     texts = ["".join(chance.choice("ab") for _ in range(chance.randrange(60))) for _ in range(40)]
     texts += [None, "", "a" * 90, "ab" * 40, texts[0], texts[1] + texts[2]]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: r for r in suffix_array.dedup(df, length=8, gram=2, shard=40).collect()}
+    got = {r.doc_id: r for r in suffix_array.dedup(df, length=8, gram=2, shard=40, hot=60).collect()}
     raw = [(t or "").encode() for t in texts]
     for i, (text, gone) in enumerate(zip(raw, removed(raw, 8))):
         assert got[i].kept == bytes(x for x, g in zip(text, gone) if not g), (i, text)
     spaced = [None if t is None else " ".join(t) for t in texts]
     df = spark.createDataFrame(list(enumerate(spaced)), "doc_id long, text string")
-    got = {r.doc_id: r for r in suffix_tree.dedup(df, window=6, gram=2, shard=40).collect()}
+    got = {r.doc_id: r for r in suffix_tree.dedup(df, window=6, gram=2, shard=40, hot=60).collect()}
     lists = [tuple((t or "").split()) for t in spaced]
     for i, (text, gone) in enumerate(zip(lists, removed(lists, 6))):
         assert got[i].kept == " ".join(x for x, g in zip(text, gone) if not g), (i, text)

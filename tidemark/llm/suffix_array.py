@@ -124,11 +124,11 @@ def repeated_starts(spec: Spec, sym: Symbols, weights: np.ndarray) -> np.ndarray
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
-          shard: int = windows.SHARD) -> DataFrame:
+          shard: int = windows.SHARD, hot: int = windows.HOT) -> DataFrame:
     """``(doc_id, n_bytes, n_spans, removed, kept)`` of every row; ``kept`` is binary."""
     spec = Spec(words=False, width=length, gram=gram)
     rows = windows.keyed(docs, id_col, text_col)
-    marked = windows.with_spans(rows, windows.repeated(spec, rows, repeated_starts, shard))
+    marked = windows.with_spans(rows, windows.repeated(spec, rows, repeated_starts, shard, hot))
 
     def run(batches):
         for batch in batches:

@@ -100,11 +100,11 @@ def repeated_starts(spec: Spec, sym: Symbols, weights: np.ndarray, most: int = G
 
 
 def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
-          shard: int = windows.SHARD) -> DataFrame:
+          shard: int = windows.SHARD, hot: int = windows.HOT) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept)`` of every row; ``kept`` joins the kept words by a space."""
     spec = Spec(words=True, width=window, gram=gram)
     rows = windows.keyed(docs, id_col, text_col)
-    marked = windows.with_spans(rows, windows.repeated(spec, rows, repeated_starts, shard))
+    marked = windows.with_spans(rows, windows.repeated(spec, rows, repeated_starts, shard, hot))
 
     def run(batches):
         for batch in batches:

@@ -8,14 +8,14 @@ look, and the others meet by their anchor.  Consecutive windows with one anchor
 1. Anchors are counted over the corpus; those that occur once are dropped.
 2. Segments with a shared anchor are grouped by content; one copy of each content is fetched, with
    its weight (one, or two for several).
-3. Contents are sorted by anchor and dealt in shards of bounded size; an indexer (suffix arrays or
-   suffix trees) finds in every shard the windows that repeat.  Range partitioning and chunking may
-   cut the contents of one anchor; the windows of the first and last anchor of each shard also
-   leave it as fingerprints, and a merge by binary search over all shards settles them.
+3. Contents are dealt by ranges of anchors in shards of bounded size; an indexer (suffix arrays or
+   suffix trees) finds in every shard the windows that repeat.  An anchor whose contents exceed
+   ``HOT`` bytes is split over several shards; its windows also leave each shard as fingerprints,
+   and a merge by binary search over all shards settles them.
 4. Repeated windows become spans of their documents; a last pass applies them.
 
-A hot anchor is many rows of a range partitioning and so many shards, never one group; a hot
-content is one row with a weight; the joins are plain ones that adaptive execution can split.
+So a hot anchor never meets in one task beyond that bound; a hot content is one row with a weight;
+the joins are plain ones that adaptive execution can split.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ from tidemark.llm.common import (IS_WORD, _BYTE, buffer_of, cut, mix, range_hash
 PIECE = 4096
 #: Bytes of content in a shard.
 SHARD = 1 << 20
+#: Bytes of content of one anchor that stay together.
+HOT = 5 << 19
 #: Symbols that are hashed at a time.
 CHUNK = 1 << 19
 
@@ -178,9 +180,6 @@ def occurrences(spec: Spec, docs: DataFrame) -> DataFrame:
         run, "anchor long, content long, doc_id long, text_hash long, start int, count int")
 
 
-WANTED = "array<struct<anchor:bigint,content:bigint,start:int,count:int,weight:int>>"
-
-
 def contents(spec: Spec, docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The symbols of the wanted segments, as bytes (words joined by one space)."""
     joined = docs.join(wanted, docs.doc_id.eqNullSafe(wanted.in_doc) & (docs.text_hash == wanted.in_text))
@@ -190,7 +189,7 @@ def contents(spec: Spec, docs: DataFrame, wanted: DataFrame) -> DataFrame:
             lists = batch.column(1)
             flat = lists.flatten()
             ends = np.cumsum(np.asarray(lists.value_lengths()))
-            fields = {f: flat.field(i) for i, f in enumerate(("anchor", "content", "start", "count", "weight"))}
+            fields = {f: flat.field(i) for i, f in enumerate(("anchor", "content", "start", "count", "weight", "salt"))}
             start = np.asarray(fields["start"]).astype(np.int64)
             stop = start + np.asarray(fields["count"]) + spec.width - 1
             for a, part, sym in _each(spec, batch.column(0)):
@@ -205,10 +204,10 @@ def contents(spec: Spec, docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 else:
                     texts = [data[x:y] for x, y in zip(s.tolist(), e.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [fields["anchor"][lo:hi], fields["content"][lo:hi], fields["weight"][lo:hi], pa.array(texts, pa.binary())],
-                    ["anchor", "content", "weight", "symbols"])
+                    [*(fields[f][lo:hi] for f in ("anchor", "content", "weight", "salt")), pa.array(texts, pa.binary())],
+                    ["anchor", "content", "weight", "salt", "symbols"])
 
-    return joined.select("text", "wanted").mapInArrow(run, "anchor long, content long, weight int, symbols binary")
+    return joined.select("text", "wanted").mapInArrow(run, "anchor long, content long, weight int, salt int, symbols binary")
 
 
 #: Finds the window starts that repeat among segments: (spec, symbols, weights) -> flag per window.
@@ -227,17 +226,15 @@ PRINTS = "array<struct<place:int,print:bigint>>"
 
 
 def indexed(spec: Spec, sorted_contents: DataFrame, index: Index, shard: int = SHARD) -> DataFrame:
-    """Runs of repeated window starts of every content, and fingerprints where a shard may be cut.
+    """Runs of repeated window starts of every content, and fingerprints of split anchors.
 
-    Fingerprints leave for the anchors that may go on in another shard: those at either end of a
-    partition, and one so hot that a shard is cut inside it.  Of the windows that repeat within the
-    shard one stands for all.
+    Contents come sorted by anchor and salt; a shard ends where these change.  Of the windows that
+    repeat within a shard one fingerprint stands for all.
     """
     runs_type = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
     prints_type = pa.list_(pa.struct([("place", pa.int32()), ("print", pa.int64())]))
 
-    def settle(held, open_):
-        anchor, content, weight, texts = held
+    def settle(anchor, content, weight, salt, texts):
         raw = np.frombuffer(b"".join(texts), np.uint8)
         offsets = np.r_[0, np.cumsum([len(t) for t in texts])].astype(np.int64)
         sym = symbols(spec, raw, offsets)
@@ -246,7 +243,7 @@ def indexed(spec: Spec, sorted_contents: DataFrame, index: Index, shard: int = S
         runs, prints, told = [], [], {}
         for i, (at, n) in enumerate(zip(sym.at.tolist(), starts.tolist())):
             runs.append([{"a": a, "b": b} for a, b in _runs(again[at:at + n])])
-            if anchor[i] not in open_:
+            if salt[i] < 0:
                 prints.append(None)
                 continue
             places = np.arange(n)
@@ -263,26 +260,23 @@ def indexed(spec: Spec, sorted_contents: DataFrame, index: Index, shard: int = S
              pa.array(prints, prints_type)], ["anchor", "content", "runs", "prints"])
 
     def run(batches):
-        held, size, open_ = ([], [], [], []), 0, None
+        held, size = ([], [], [], [], []), 0
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if open_ is None:
-                    open_ = {row[0]}
-                inside = bool(held[0]) and row[0] == held[0][-1]
-                if size >= 2 * shard or size >= shard and not inside:
-                    yield settle(held, open_ | {row[0]} if inside else open_)
-                    held, size, open_ = ([], [], [], []), 0, {row[0]} if inside else set()
+            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if size >= shard and (row[0], row[3]) != (held[0][-1], held[3][-1]):
+                    yield settle(*held)
+                    held, size = ([], [], [], [], []), 0
                 for column, value in zip(held, row):
                     column.append(value)
-                size += len(row[3])
+                size += len(row[4])
         if held[0]:
-            yield settle(held, open_ | {held[0][-1]})
+            yield settle(*held)
 
     return sorted_contents.mapInArrow(run, f"anchor long, content long, runs {RUNS}, prints {PRINTS}")
 
 
 def merged(found: DataFrame) -> DataFrame:
-    """Window starts of the open anchors that also occur in another shard, by binary search.
+    """Window starts of split anchors that also occur in another shard, by binary search.
 
     Fingerprints are dealt by anchor and value; a task sorts what it gets once and looks every
     fingerprint up.
@@ -307,7 +301,7 @@ def merged(found: DataFrame) -> DataFrame:
                        .alias("runs"))
 
 
-def repeated(spec: Spec, docs: DataFrame, index: Index, shard: int = SHARD) -> DataFrame:
+def repeated(spec: Spec, docs: DataFrame, index: Index, shard: int = SHARD, hot: int = HOT) -> DataFrame:
     """``(in_doc, in_text, spans)``: symbol ranges covered by repeated windows, for rows that have any.
 
     ``docs`` has ``doc_id``, ``text_hash`` and ``text``; ranges may touch or overlap.
@@ -317,12 +311,19 @@ def repeated(spec: Spec, docs: DataFrame, index: Index, shard: int = SHARD) -> D
     occ = cut(occ.join(shared, occ.anchor == shared.shared).drop("shared"))
     first = F.min(F.struct("doc_id", "text_hash", "start", "count")).alias("at")
     kinds = occ.groupBy("anchor", "content").agg(first, F.count("*").alias("n"))
+    size = F.sum((F.col("at.count") + spec.width).cast("long") * (6 if spec.words else 1))
+    large = cut(kinds.groupBy(F.col("anchor").alias("hot")).agg(size.alias("bytes")).filter(F.col("bytes") > hot))
+    if large.head(1):
+        kinds = kinds.join(large, F.col("anchor") == F.col("hot"), "left")
+        salt = F.when(F.col("bytes").isNull(), -1).otherwise(F.pmod("content", F.ceil(F.col("bytes") / hot))).cast("int")
+    else:
+        salt = F.lit(-1)
     part = F.struct("anchor", "content", F.col("at.start").alias("start"), F.col("at.count").alias("count"),
-                    F.least("n", F.lit(2)).cast("int").alias("weight"))
+                    F.least("n", F.lit(2)).cast("int").alias("weight"), salt.alias("salt"))
     wanted = kinds.groupBy(F.col("at.doc_id").alias("in_doc"), F.col("at.text_hash").alias("in_text")).agg(
         F.collect_list(part).alias("wanted"))
     fetched = contents(spec, docs, wanted)
-    dealt = fetched.repartitionByRange("anchor", "content").sortWithinPartitions("anchor", "content")
+    dealt = fetched.repartitionByRange("anchor", "salt").sortWithinPartitions("anchor", "salt", "content")
     found = cut(indexed(spec, dealt, index, shard))
     runs = found.filter("size(runs) > 0").select("anchor", "content", "runs").unionByName(merged(found))
     runs = runs.withColumnsRenamed({"anchor": "run_anchor", "content": "run_content"})
