@@ -173,9 +173,11 @@ def _(spark, sf):
     return quality.rows_by(base.a_price(spark, sf), "event_type", "source")
 
 
-@query("storage_stats")
+@query("storage_stats", """
+    SELECT 'lineitem' AS table_name, count(*) AS n_rows, true AS has_bytes, 1::BIGINT AS parts FROM lineitem""")
 def _(spark, sf):
-    return quality.storage_stats(base.table(spark, sf, "lineitem"), "lineitem")
+    stats = quality.storage_stats(base.table(spark, sf, "lineitem"), "lineitem")
+    return stats.select("table_name", "n_rows", (F.col("n_bytes") > 0).alias("has_bytes"), "parts")
 
 
 @query("thin_days", """
@@ -327,6 +329,9 @@ def _(spark, sf):
     return rnd(daily.spike_autocorrelation(outcome(spark, sf)))
 
 
-@query("sample_rows")
+@query("sample_rows", """
+    SELECT event_id, regionid, rrp FROM price_rows ORDER BY md5(event_id || '|0'), event_id LIMIT 1000""".replace(
+        "price_rows", "(SELECT event_id, regionid, rrp FROM a_price WHERE intervention = 0)"))
 def _(spark, sf):
-    return explore.sample_rows(priced(spark, sf).select("event_id", "regionid", "rrp"), 60000, ["event_id"])
+    """A thousand of all rows (or all, where there are fewer)."""
+    return explore.sample_rows(priced(spark, sf).select("event_id", "regionid", "rrp"), 1000, ["event_id"])

@@ -136,7 +136,9 @@ def label_runs(df: DataFrame, written: str = "lastchanged", target: str = "datet
     An aggregate joined back instead of a window: the aggregate combines on the map side and
     the join may split a hot write time, a window could not.
     """
-    labels = (df.where(F.col(written).isNotNull()).groupBy(written)
-              .agg(F.min(target).alias("run_datetime")))
-    return (df.drop("run_datetime").join(labels, written, "left")
-            .withColumn("run_written_at", F.col(written)))
+    df = df.drop("run_datetime")
+    known = df.where(F.col(written).isNotNull())
+    labels = known.groupBy(written).agg(F.min(target).alias("run_datetime"))
+    # Rows without a write time need no label and would all meet in one task of the join.
+    rest = df.where(F.col(written).isNull()).withColumn("run_datetime", F.lit(None).cast(df.schema[target].dataType))
+    return known.join(labels, written).unionByName(rest).withColumn("run_written_at", F.col(written))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark import fixed_values as fv
 from tidemark.functions import timeaxis
@@ -117,5 +118,18 @@ def downsample_compare(forecast: DataFrame, price: DataFrame, width: str = "30 m
 
 
 def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 0) -> DataFrame:
-    """A repeatable sample of n rows: the smallest hashes of key and seed."""
-    return df.orderBy(F.xxhash64(*key, F.lit(seed)), *key).limit(n)
+    """A repeatable sample of n rows: the smallest hashes of key and seed.
+
+    Rows are counted by the first hex digits of their hash; whole groups below the one in which the
+    n-th row lies are taken as they are, and only that group is ranked.
+    """
+    marked = df.withColumn("_hash", F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed)))))
+    marked = marked.withColumn("_group", F.substring("_hash", 1, 4))
+    sizes = marked.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1))  # 65,536 rows at most
+    sizes = sizes.withColumn("_before", F.coalesce(before, F.lit(0))).where(F.col("_before") < n)
+    near = marked.join(F.broadcast(sizes), "_group")
+    whole = near.where(F.col("_before") + F.col("_n") <= n)
+    rank = F.row_number().over(Window.partitionBy("_group").orderBy("_hash", *key))
+    part = near.where(F.col("_before") + F.col("_n") > n).withColumn("_rank", rank).where(F.col("_before") + F.col("_rank") <= n)
+    return whole.select(*df.columns).unionByName(part.select(*df.columns))

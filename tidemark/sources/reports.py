@@ -11,10 +11,11 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
@@ -57,17 +58,25 @@ def _member_lines(archive: zipfile.ZipFile, outer: str | None) -> Iterator[tuple
                     yield member, stamped, n, line.decode("utf-8", errors="replace").rstrip("\r\n")
 
 
+#: Line number of the row that stands for an archive which could not be read to its end.
+FAILED = -1
+
+
 def _unpack_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = ["path", "member", "name", "chunk", "line", "text"]
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             rows = []
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                for member, stamped, n, text in _member_lines(archive, None):
-                    rows.append((path, member, stamped, 0, n, text))
-                    if len(rows) >= BATCH_LINES:
-                        yield pd.DataFrame(rows, columns=columns)
-                        rows = []
+            try:
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    for member, stamped, n, text in _member_lines(archive, None):
+                        rows.append((path, member, stamped, 0, n, text))
+                        if len(rows) >= BATCH_LINES:
+                            yield pd.DataFrame(rows, columns=columns)
+                            rows = []
+            except (zipfile.BadZipFile, zipfile.LargeZipFile, EOFError, NotImplementedError, RuntimeError, TypeError,
+                    zlib.error) as e:
+                rows.append((path, "", "", 0, FAILED, f"{type(e).__name__}: {e}"))
             if rows:
                 yield pd.DataFrame(rows, columns=columns)
 
@@ -77,14 +86,33 @@ def unpack(archives: DataFrame) -> DataFrame:
 
     The only Python on a data path: bytes have to be unzipped.  Archives spread over tasks and
     a member is streamed in batches of lines.  ``name`` is the innermost name that carries a
-    time stamp; the archive's own name is not consulted.
+    time stamp; the archive's own name is not consulted.  An archive that is broken does not stop
+    the others: its readable lines are kept and `failures` names it.
     """
     return archives.select("path", "content").mapInPandas(_unpack_batches, LINES)
 
 
-def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]")
-            .option("recursiveFileLookup", "true").load(folder).select("path", "content"))
+def failures(lines: DataFrame) -> DataFrame:
+    """``(path, error)`` of archives that could not be read to their end."""
+    return lines.where(F.col("line") == FAILED).select("path", F.col("text").alias("error"))
+
+
+def stored_lines(lines: DataFrame, folder: str) -> DataFrame:
+    """Header, data and failure lines written to ``folder`` and read back.
+
+    Archives are then unpacked once however many tables are taken from them.
+    """
+    kind = F.substring("text", 1, 2)
+    lines.where(kind.isin("I,", "D,") | (F.col("line") == FAILED)).write.mode("overwrite").parquet(folder)
+    return lines.sparkSession.read.schema(lines.schema).parquet(folder)
+
+
+def read_archives(spark: SparkSession, folder: str | list[str]) -> DataFrame:
+    """Bytes of the archives below a folder, or of the files of a list and no others."""
+    reader = spark.read.format("binaryFile")
+    if isinstance(folder, str):
+        reader = reader.option("pathGlobFilter", "*.[zZ][iI][pP]").option("recursiveFileLookup", "true")
+    return reader.load(folder).select("path", "content")
 
 
 def fields(text: Column) -> Column:
@@ -101,7 +129,8 @@ TABLE_KEYS = [*FILE_KEYS, "label"]
 
 def _split_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Header rows with their column lists, and data rows with their values."""
-    parsed = lines.where(F.col("text").startswith("I,") | F.col("text").startswith("D,")).select(
+    kind = F.substring("text", 1, 2)
+    parsed = lines.where(kind.isin("I,", "D,") & (F.col("line") != FAILED)).select(
         *FILE_KEYS, "name", F.struct("chunk", "line").alias("at"), F.col("text").substr(1, 1).alias("kind"),
         fields(F.col("text")).alias("f"))
     labelled = parsed.withColumn("label", F.upper(F.concat(
@@ -122,25 +151,17 @@ def repeated_headers(lines: DataFrame) -> DataFrame:
 
 
 def _with_columns_of_header(heads: DataFrame, rows: DataFrame, repeated: str) -> DataFrame:
-    """Attach to every data row the columns of its header."""
-    per_table = heads.groupBy(*TABLE_KEYS).agg(
-        F.max("at").alias("last_at"), F.min("at").alias("first_at"),
-        F.max_by("cols", "at").alias("cols"), F.min("cols").alias("lo"), F.max("cols").alias("hi"))
+    """Attach to every data row the columns of the last header before it.
+
+    The headers of a table in one file (nearly always one) are an array in order of place, so one
+    join serves files whose columns change as well, and rows need no order.
+    """
+    per_table = heads.groupBy(*TABLE_KEYS).agg(F.array_sort(F.collect_list(F.struct("at", "cols"))).alias("heads"))
     joined = rows.join(per_table, TABLE_KEYS)
     if repeated == "last":  # a later header replaces the earlier block
-        return joined.where(F.col("at") > F.col("last_at")).drop("last_at", "first_at", "lo", "hi")
-    same = joined.where((F.col("lo") == F.col("hi")) & (F.col("at") > F.col("first_at"))).select(
-        *rows.columns, "cols")
-    # Only tables whose columns changed within one file need their lines in order.
-    changed = per_table.where(F.col("lo") != F.col("hi")).select(*TABLE_KEYS)
-    both = rows.withColumn("cols", F.lit(None).cast("array<string>")).unionByName(
-        heads.select(*TABLE_KEYS, F.lit(None).cast("string").alias("name"), "at",
-                     F.lit(None).cast("array<string>").alias("vals"), "cols"))
-    w = Window.partitionBy(*TABLE_KEYS).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = (both.join(changed, TABLE_KEYS, "left_semi")
-               .withColumn("cols", F.last("cols", ignorenulls=True).over(w))
-               .where(F.col("vals").isNotNull() & F.col("cols").isNotNull()))
-    return same.unionByName(ordered.select(*same.columns))
+        joined = joined.withColumn("heads", F.slice("heads", -1, 1))
+    before = F.filter("heads", lambda h: h["at"] < F.col("at"))
+    return joined.withColumn("cols", F.try_element_at(before, F.lit(-1))["cols"]).where(F.col("cols").isNotNull()).drop("heads")
 
 
 def parse_reports(lines: DataFrame, wanted: list[str] | None = None,
