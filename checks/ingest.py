@@ -15,6 +15,8 @@ from checks.base import query
 from tidemark.functions import provenance, timeaxis
 from tidemark.operators import clean, merge
 from tidemark.session import shared_folder
+from tidemark.operators import batchlog
+from tidemark.plans import ingest
 from tidemark.sources import files, reports, tables
 from tidemark.specs import SPECS
 
@@ -184,7 +186,8 @@ def archives(spark, sf) -> DataFrame:
       TIMESTAMP '2024-02-01' + INTERVAL 1 SECOND * (event_id // 200) AS known_at,
       'PUBLIC_IS_' || (event_id // 200)::VARCHAR || '.zip' AS source_file FROM a_price""")
 def _(spark, sf):
-    rows = reports.ingest(reports.unpack(archives(spark, sf)), SPECS["dispatchprice"])
+    lines = reports.stored_lines(reports.unpack(archives(spark, sf)), shared_folder(spark, "lines"))
+    rows = reports.ingest(lines, SPECS["dispatchprice"])
     return rows.select("regionid", "settlementdate", "intervention", "rrp", "source", "known_at_kind", "known_at",
                        "source_file")
 
@@ -311,3 +314,32 @@ def _(spark, sf):
     SELECT source_file AS file_name, intervention, count(*) AS n FROM a_price GROUP BY ALL""")
 def _(spark, sf):
     return tables.value_counts_by_file(base.a_price(spark, sf), "intervention", "source_file")
+
+
+@query("daily_ingest", """
+    WITH f AS (SELECT * FROM a_price WHERE event_id // 200 < 30),
+    told AS (SELECT count(DISTINCT event_id // 200) AS opened, count(*) AS pulled,
+               count(DISTINCT (regionid, settlementdate, intervention)) AS appended FROM f)
+    SELECT run, table_name, CASE WHEN run = 'first' THEN opened ELSE 0 END::BIGINT AS opened, pulled, appended
+    FROM told, (SELECT unnest(['first', 'second']) AS run), (SELECT unnest(['dispatchprice', 'dispatchregionsum']) AS table_name)
+    WHERE run = 'first'
+    UNION ALL SELECT 'second', NULL, 0, 0, 0""")
+def _(spark, sf):
+    """The window's unseen archives into two tables; a second run opens none and adds nothing."""
+    root = shared_folder(spark, "daily-ingest")
+    number = F.regexp_extract("path", r"_(\d+)\.zip$", 1).cast("int")
+    stamp = F.date_format(F.lit("2024-02-01").cast("timestamp_ntz") + F.make_dt_interval(mins=number), "yyyyMMddHHmm")
+    path = F.concat(F.lit("landing/Reports/Current/PUBLIC_DISPATCHIS_"), stamp, F.lit("_1.zip"))
+    archives(spark, sf).select(path.alias("path"), "content").write.parquet(f"{root}/landed")
+    landed = spark.read.parquet(f"{root}/landed")
+    listing = landed.select("path", files.file_name(F.col("path")).alias("name"))
+    window = [F.lit(t).cast("timestamp_ntz") for t in ("2024-02-01 00:00:00", "2024-02-01 00:30:00")]
+    stores = {n: f"{root}/{n}" for n in ("dispatchprice", "dispatchregionsum")}
+    opened = {run: ingest.ingest_window(spark, listing, lambda paths: landed.where(F.col("path").isin(paths)), stores, *window,
+                                        f"{root}/log", run, root).opened for run in ("first", "second")}
+    told = batchlog.trail(spark, f"{root}/log").where("status = 'success'").select(
+        F.col("batch").alias("run"), "table_name", F.lit(opened["first"]).cast("bigint").alias("opened"), "pulled", "appended")
+    zero = F.lit(0).cast("bigint")
+    again = spark.range(1).select(F.lit("second").alias("run"), F.lit(None).cast("string").alias("table_name"),
+                                  F.lit(opened["second"]).cast("bigint").alias("opened"), zero.alias("pulled"), zero.alias("appended"))
+    return told.unionByName(again)

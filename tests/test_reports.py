@@ -165,3 +165,60 @@ def test_json_rows_ignore_unknown_fields_and_bad_dates(spark):
     df = spark.createDataFrame([('{"a":1,"t":"2024-01-01T00:05:00","zz":3}',), ('{"a":2,"t":"never"}',)], "value string")
     got = [tuple(r) for r in tables.json_rows(df, T.StructType.fromDDL("a int, t timestamp_ntz")).collect()]
     assert got == [(1, ts("2024-01-01T00:05:00")), (2, None)]
+
+
+def zipped(text, name="PUBLIC_X_202409010005_20240901000400.CSV"):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr(name, text)
+    return out.getvalue()
+
+
+def test_a_broken_archive_is_reported_and_the_rest_read(spark):
+    good = zipped("\n".join([HEAD, row(), row(region="SA1")]))
+    spoiled = bytearray(good)
+    spoiled[60] ^= 255
+    df = spark.createDataFrame([("a.zip", good), ("b.zip", b"not a zip"), ("c.zip", bytes(spoiled)), ("d.zip", good)],
+                               "path string, content binary")
+    lines = reports.stored_lines(reports.unpack(df), shared_folder(spark, "lines"))
+    assert {r.path for r in reports.failures(lines).collect()} == {"b.zip", "c.zip"}
+    got = reports.parse_reports(lines, ["dispatchprice"])["dispatchprice"]
+    assert {r.path for r in got.collect()} >= {"a.zip", "d.zip"} and got.where("path = 'd.zip'").count() == 2
+
+
+def test_workers_need_no_copy_of_the_package(spark, tmp_path):
+    """A driver started elsewhere, with the package on its own path only."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    (tmp_path / "a.zip").write_bytes(zipped("\n".join([HEAD, row()])))
+    script = (f"import sys; sys.path.insert(0, {root!r})\n"
+              "from tidemark.session import build_session\nfrom tidemark.sources import reports\n"
+              "spark = build_session('elsewhere', 'local[1]', **{'spark.ui.enabled': 'false'})\n"
+              "import os; os.chdir('/')\n"
+              f"print('rows', reports.unpack(reports.read_archives(spark, {str(tmp_path)!r})).count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=200)
+    assert "rows 2" in out.stdout, out.stderr[-2000:]
+
+
+def test_files_of_a_window_are_opened_once(spark, tmp_path):
+    from tidemark.plans import ingest
+    for k in range(4):
+        (tmp_path / f"PUBLIC_DISPATCHIS_20240901000{k}_1.zip").write_bytes(
+            zipped("\n".join([HEAD, row(rrp=str(k)), row(region="SA1", rrp=str(k))])))
+    (tmp_path / "PUBLIC_DISPATCHIS_202409010009_1.zip").write_bytes(b"broken")
+    root = shared_folder(spark, "daily")
+    stores = {"dispatchprice": f"{root}/price"}
+    lo, mid, hi = (F.lit(t).cast("timestamp_ntz") for t in ("2024-09-01 00:00:00", "2024-09-01 00:02:00", "2024-09-01 00:10:00"))
+
+    def run(a, b, batch):
+        listing, read = ingest.folder_source(spark, str(tmp_path))
+        return ingest.ingest_window(spark, listing, read, stores, a, b, f"{root}/log", batch, root)
+
+    first = run(lo, mid, "1")
+    assert (first.opened, first.broken, first.status) == (2, {}, {"dispatchprice": "success"})
+    second = run(lo, hi, "2")  # two of five are stored; the broken one is tried and reported
+    assert second.opened == 3 and [k.rsplit("/", 1)[1] for k in second.broken] == ["PUBLIC_DISPATCHIS_202409010009_1.zip"]
+    assert spark.read.parquet(f"{root}/price").count() == 2
