@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -16,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "price_final", "daily_outcome", "forecast_join", "asof_latest", "forecast_1300", "forecast_2000", "features",
     "features_legacy", "quality_report", "run_label", "merge_new_rows", "merge_stats", "merge_partition", "range_page",
-    "report_parse", "archive_unpack", "profile_columns", "describe_numeric", "quantile_bins", "join_alignment",
+    "stream_asof_latest", "report_parse", "archive_unpack", "profile_columns", "describe_numeric", "quantile_bins", "join_alignment",
     "duplicate_keys", "tumble_30m", "load_sorted", "stream_daily_outcome",
 ]
 
@@ -29,7 +30,8 @@ def main() -> None:
 
     spark = build_session("bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g")})
+        "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
+        "spark.checkpoint.dir": os.environ.get("BENCH_SHARED") or tempfile.mkdtemp(prefix="bench-shared-")})
     spark.sparkContext.setLogLevel("ERROR")
     only = sys.argv[1:] or HEADLINE
     took = {}

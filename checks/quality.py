@@ -251,19 +251,21 @@ def _(spark, sf):
     return rnd(explore.daily_spike_rate(base.price_final(spark, sf)))
 
 
+STATE_TYPES = {"event_id": "bigint", "ts": "timestamp_ntz", "regionid": "string", "settlementdate": "timestamp_ntz",
+               "intervention": "int", "source": "string", "known_at": "timestamp_ntz",
+               **{c: "double" for c in ("totaldemand", "availablegeneration", "availableload", "demandforecast",
+                                        "netinterchange", "initialsupply", "clearedsupply", "uigf",
+                                        "semischedule_clearedmw", "totalintermittentgeneration")}}
+
+
 @query("profile_columns", " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null,"
-    f" count(DISTINCT {c}) AS n_distinct, '{t}' AS dtype FROM a_state"
-    for c, t in [("event_id", "bigint"), ("regionid", "string"), ("settlementdate", "timestamp_ntz"),
-                 ("intervention", "int"), ("source", "string"), ("totaldemand", "double"),
-                 ("totalintermittentgeneration", "double")]))
+    f" count(DISTINCT {c}) AS n_distinct, '{t}' AS dtype FROM a_state" for c, t in STATE_TYPES.items()))
 def _(spark, sf):
-    return quality.profile_columns(base.a_state(spark, sf).select(
-        "event_id", "regionid", "settlementdate", "intervention", "source", "totaldemand",
-        "totalintermittentgeneration"))
+    return quality.profile_columns(base.a_state(spark, sf))
 
 
-DESCRIBED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+DESCRIBED = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @query("describe_numeric", " UNION ALL ".join(
@@ -272,15 +274,18 @@ DESCRIBED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     f" round(quantile_cont({c}, 0.5), 4) AS p50, round(quantile_cont({c}, 0.75), 4) AS p75 FROM lineitem"
     for c in DESCRIBED))
 def _(spark, sf):
-    return rnd(quality.describe_numeric(base.table(spark, sf, "lineitem"), DESCRIBED), 4)
+    return rnd(quality.describe_numeric(base.table(spark, sf, "lineitem")), 4)
+
+
+FORECAST_COLUMNS = ["event_id", "v", "regionid", "datetime", "run_datetime", "vintage", "known_at", "lastchanged", "source",
+                    "intervention", "rrp", *[f"rrp{i}" for i in range(1, 9)]]
 
 
-@query("null_fraction", " UNION ALL ".join(
+@query("null_fraction", "SELECT * FROM (" + " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, round(avg(CAST({c} IS NULL AS INT)), 9) AS null_fraction FROM a_fc_price"
-    for c in ["known_at", "lastchanged", "rrp", "rrp1", "vintage"]))
+    for c in FORECAST_COLUMNS) + ") ORDER BY null_fraction DESC, column_name LIMIT 15")
 def _(spark, sf):
-    return rnd(quality.null_fraction(base.a_fc_price(spark, sf).select(
-        "known_at", "lastchanged", "rrp", "rrp1", "vintage")))
+    return rnd(quality.null_fraction(base.a_fc_price(spark, sf)))
 
 
 @query("median_abs_error", """

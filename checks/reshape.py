@@ -133,10 +133,9 @@ def _(spark, sf):
     return rnd(reshape.weighted_average(reshape.melt_map(docs, ["id"], "mix"), docs, "id", "demand"))
 
 
-@query("share_table", "SELECT key AS \"Fuel\", pct AS share FROM mix WHERE id = 'ASIA' AND pct > 0")
+@query("share_table", "SELECT id, key AS \"Fuel\", pct AS share FROM mix WHERE pct > 0")
 def _(spark, sf):
-    long = reshape.melt_map(documents(spark, sf).where(F.col("id") == "ASIA"), ["id"], "mix")
-    return reshape.share_table(long, "key", "Fuel")
+    return reshape.share_table(reshape.melt_map(documents(spark, sf), ["id"], "mix"), "key", "Fuel", by=["id"])
 
 
 @query("pivot_events", "SELECT regionid, " + ", ".join(

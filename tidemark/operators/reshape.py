@@ -56,7 +56,7 @@ def weighted_average(long: DataFrame, weights: DataFrame, index: str, weight: st
     return sums.select(key, (F.col("_s") / total.scalar()).alias(value))
 
 
-def share_table(df: DataFrame, name: str, title: str, value: str = "pct") -> DataFrame:
-    """Positive shares, largest first, under display names."""
-    return (df.where(F.col(value) > 0).select(F.col(name).alias(title), F.col(value).alias("share"))
-            .orderBy(F.desc("share"), title))
+def share_table(df: DataFrame, name: str, title: str, value: str = "pct", by: Sequence[str] = ()) -> DataFrame:
+    """Positive shares under display names, largest first within each of ``by``."""
+    return (df.where(F.col(value) > 0).select(*by, F.col(name).alias(title), F.col(value).alias("share"))
+            .orderBy(*by, F.desc("share"), title))
