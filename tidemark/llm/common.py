@@ -48,6 +48,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on hands Python batches of bounded rows and bytes.
+
+    Texts differ in length by orders of magnitude, so a row count alone bounds nothing.
+    """
+    for key, value in (("maxRecordsPerBatch", "2000"), ("maxBytesPerBatch", str(4 << 20))):
+        df.sparkSession.conf.set(f"spark.sql.execution.arrow.{key}", value)
+    return df
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 4; a null id falls in fold 0."""
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 4, F.lit(0))

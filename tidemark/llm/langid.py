@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.llm.common import bounded_batches
+
 PIECE = 2000
 ORDERS = 4
 BITS = 20
@@ -139,7 +141,7 @@ def decide(model: Model | None, texts: list[str | None]) -> tuple[list[str], lis
     at = 0
     while at < len(texts):
         end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end] or "") < 1 << 19):
+        while end < len(texts) and (end == at or size + len(texts[end] or "") < 1 << 18):
             size += len(texts[end] or "")
             end += 1
         joined, piece_of, owner = [], [], []
@@ -204,7 +206,7 @@ def identify(docs: DataFrame, train: Column, keep: list[Column], text_col: str =
     """``keep`` columns, ``lang_pred`` and ``score`` of every row."""
     model = fit(training_pieces(docs, train, lang_col, text_col, per_language))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most LANDMARKS x COLUMNS numbers
-    chosen = docs.select(F.struct(*keep).alias("kept"), F.col(text_col).cast("string").alias("text"))
+    chosen = bounded_batches(docs).select(F.struct(*keep).alias("kept"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
         for batch in batches:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import IS_WORD, _BYTE, buffer_of, cut, mix, range_hash, slices, word_bounds
+from tidemark.llm.common import IS_WORD, _BYTE, bounded_batches, buffer_of, cut, mix, range_hash, slices, word_bounds
 
 ALLOWED = 0.05
 DELTA = 0.05
@@ -106,12 +106,12 @@ def measure(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def measures(docs: DataFrame, keep: list[Column], text_col: str = "text") -> DataFrame:
-    chosen = docs.select(F.struct(*keep).alias("kept"), F.col(text_col).cast("string").alias("text"))
+    chosen = bounded_batches(docs).select(F.struct(*keep).alias("kept"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
         for batch in batches:
             raw, at = buffer_of(batch.column(1))
-            parts = [measure(raw[at[a]:at[b]], at[a:b + 1] - at[a]) for a, b in slices(at, 1 << 20)]
+            parts = [measure(raw[at[a]:at[b]], at[a:b + 1] - at[a]) for a, b in slices(at, 1 << 18)]
             counts = np.concatenate(parts, axis=1) if parts else np.zeros((len(FIELDS), 0), np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c) for c in counts]], ["kept", *FIELDS])
 

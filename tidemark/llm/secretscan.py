@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import forest
-from tidemark.llm.common import buffer_of, cut, range_hash, slices, word_bounds
+from tidemark.llm.common import bounded_batches, buffer_of, cut, range_hash, slices, word_bounds
 
 MOST_FINDINGS = 5000
 BITS = 18
@@ -77,7 +77,7 @@ def corpus_statistics(docs: DataFrame, text_col: str = "text") -> Corpus:
         pairs, words = np.zeros(38 * 38, np.int64), np.zeros(1 << BITS, np.int64)
         for batch in batches:
             raw, at = buffer_of(batch.column(0))
-            for a, b in slices(at, 1 << 20):
+            for a, b in slices(at, 1 << 18):
                 part = raw[at[a]:at[b]]
                 code = CLASS[part]
                 pairs += np.bincount(code[:-1] * 38 + code[1:], minlength=38 * 38)
@@ -91,7 +91,7 @@ def corpus_statistics(docs: DataFrame, text_col: str = "text") -> Corpus:
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[have, -1 - both]), pa.array(np.r_[words[have], pairs[both]])],
                                          ["slot", "n"])
 
-    counted = (docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "slot long, n long")
+    counted = (bounded_batches(docs).select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "slot long, n long")
                .groupBy("slot").agg(F.sum("n").alias("n")).collect())  # at most 2**18 + 38 * 38 rows
     pairs, words = np.ones((38, 38)), np.zeros(1 << BITS)
     for slot, n in counted:
@@ -238,7 +238,7 @@ CANDIDATES = "start int, value string, before string, after string, assigned boo
 def found_in(docs: DataFrame, corpus: Corpus, keep: list[Column], path: Column, text_col: str = "text") -> DataFrame:
     """A row per candidate: ``keep``, ``path``, the candidate, its neighbours and measures."""
     shared = docs.sparkSession.sparkContext.broadcast(corpus)
-    chosen = docs.select(F.struct(*keep).alias("kept"), path.cast("string").alias("path"),
+    chosen = bounded_batches(docs).select(F.struct(*keep).alias("kept"), path.cast("string").alias("path"),
                          F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
@@ -305,7 +305,7 @@ def scan(docs: DataFrame, scanner: Scanner, keep: list[Column], path: Column | N
     """A row per candidate: ``keep``, ``start`` (characters), ``value``, ``score`` and ``secret``."""
     path = F.lit(None).cast("string") if path is None else path
     shared = docs.sparkSession.sparkContext.broadcast(scanner)
-    chosen = docs.select(F.struct(*keep).alias("kept"), path.cast("string").alias("path"),
+    chosen = bounded_batches(docs).select(F.struct(*keep).alias("kept"), path.cast("string").alias("path"),
                          F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
@@ -331,7 +331,7 @@ def redact(docs: DataFrame, scanner: Scanner, path: Column | None = None, text_c
     """All rows and columns, with the secrets of the text masked; null texts stay null."""
     path = F.lit(None).cast("string") if path is None else path
     shared = docs.sparkSession.sparkContext.broadcast(scanner)
-    chosen = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text_col])
+    chosen = bounded_batches(docs).select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text_col])
                          .alias("kept"), path.cast("string").alias("path"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import buffer_of, components, cut
+from tidemark.llm.common import bounded_batches, buffer_of, components, cut
 
 SEED = 42
 TILE = 1024
@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(fp.view(np.int64))],
                                              ["doc_id", "fp"])
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return (bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
             .mapInArrow(run, "doc_id long, fp long"))
 
 

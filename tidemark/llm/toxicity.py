@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import buffer_of, cut, range_hash, slices, word_bounds
+from tidemark.llm.common import bounded_batches, buffer_of, cut, range_hash, slices, word_bounds
 
 BITS = 18
 STEMS = (4, 5)
@@ -90,7 +90,7 @@ class Machine:
 
     def score(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         out = np.zeros(len(offsets) - 1)
-        for a, b in slices(offsets, 1 << 20):
+        for a, b in slices(offsets, 1 << 18):
             row, bucket = terms(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
             feature = self.column_of[bucket]
             known = feature >= 0
@@ -163,7 +163,7 @@ def labelled(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str
              .filter("marked_id is not null and mark is not null").groupBy("marked_id").agg(F.max("mark").alias("mark")))
     share = min(1.0, most_rows / max(1, marks.count()))
     drawn = cut(marks.filter(F.pmod(F.xxhash64(F.lit(17), "marked_id"), F.lit(1_000_000)) < share * 1_000_000))
-    rows = docs.filter(train_rows).select(F.col(id_col).alias("row_id"), F.col(text_col).cast("string").alias("text"))
+    rows = bounded_batches(docs).filter(train_rows).select(F.col(id_col).alias("row_id"), F.col(text_col).cast("string").alias("text"))
     return (rows.join(F.broadcast(drawn), F.col("row_id") == F.col("marked_id"))  # about most_rows ids
             .select("text", F.col("mark").alias("toxic")))
 
@@ -177,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "d
             raw, at = buffer_of(batch.column(0))
             toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             sums = np.zeros((2, 1 << BITS), np.int64)
-            for a, b in slices(at, 1 << 21):
+            for a, b in slices(at, 1 << 18):
                 row, bucket = terms(raw[at[a]:at[b]], at[a:b + 1] - at[a])
                 for kind in (0, 1):
                     sums[kind] += np.bincount(bucket[toxic[a + row] == kind], minlength=1 << BITS)
@@ -211,7 +211,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "d
             raw, at = buffer_of(batch.column(0))
             toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             out = []
-            for a, b in slices(at, 1 << 21):
+            for a, b in slices(at, 1 << 18):
                 row, bucket = terms(raw[at[a]:at[b]], at[a:b + 1] - at[a])
                 feature = shared.value[bucket]
                 keep = feature >= 0
@@ -239,7 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "d
 def score(docs: DataFrame, machine: Machine, keep: list[Column], text_col: str = "text") -> DataFrame:
     """``keep`` columns and ``score`` of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)  # at most MOST_TERMS features
-    chosen = docs.select(F.struct(*keep).alias("kept"), F.col(text_col).cast("string").alias("text"))
+    chosen = bounded_batches(docs).select(F.struct(*keep).alias("kept"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
         for batch in batches:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import (IS_WORD, _BYTE, buffer_of, cut, mix, range_hash, slices, window_min, word_bounds)
+from tidemark.llm.common import (IS_WORD, _BYTE, bounded_batches, buffer_of, cut, mix, range_hash, slices, window_min, word_bounds)
 
 #: Longest run of window starts in one segment.
 PIECE = 4096
@@ -37,7 +37,7 @@ SHARD = 1 << 20
 #: Bytes of content of one anchor that stay together.
 HOT = 5 << 19
 #: Symbols that are hashed at a time.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -140,7 +140,7 @@ def segments(spec: Spec, sym: Symbols, piece: int = PIECE) -> Segments:
 def _each(spec: Spec, column):
     """Symbols and rows of a text column, a bounded number of bytes at a time."""
     raw, at = buffer_of(column)
-    for a, b in slices(at, CHUNK * (6 if spec.words else 1)):
+    for a, b in slices(at, CHUNK * (4 if spec.words else 1)):
         part = raw[at[a]:at[b]]
         yield a, part, symbols(spec, part, at[a:b + 1] - at[a])
 
@@ -338,7 +338,7 @@ def repeated(spec: Spec, docs: DataFrame, index: Index, shard: int = SHARD, hot:
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id``, ``text`` and a hash of it; the id and the hash name a row up to equal rows."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
