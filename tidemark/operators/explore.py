@@ -46,11 +46,14 @@ def histogram(df: DataFrame, column: str, keys: Sequence[str], lo: float = fv.HI
 
 
 def median_by_hour_season(price: DataFrame, day_column: str = "settlementdate") -> DataFrame:
-    """Median final price by season and hour; a group holds one row per interval."""
+    """Median final price by season and hour, and the number of prices.
+
+    A group grows with history, so its values are never gathered in one task.
+    """
     t = F.col(day_column)
-    return price.groupBy("regionid", timeaxis.season(F.month(t)).alias("season"),
-                         F.hour(t).alias("hour")).agg(F.median("rrp").alias("median_rrp"),
-                                                      F.count(F.lit(1)).alias("n"))
+    keys = ["regionid", "season", "hour"]
+    rows = price.select("regionid", timeaxis.season(F.month(t)).alias("season"), F.hour(t).alias("hour"), "rrp")
+    return exact_quantiles(rows, "rrp", [0.5], keys).select(*keys, F.col("q")[0].alias("median_rrp"), "n")
 
 
 def quantile_bins(df: DataFrame, by: str, value: str, bins: int = 10) -> DataFrame:

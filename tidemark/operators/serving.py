@@ -43,10 +43,14 @@ def range_last_days(df: DataFrame, spec: TableSpec, as_of: str, days: int, regio
     return range_read(df, spec, str(today - dt.timedelta(days)), str(today + dt.timedelta(ahead)), region)
 
 
-def page(rows: DataFrame, order: Sequence[str], limit: int = fv.PAGE_ROWS, offset: int = 0) -> DataFrame:
-    """One page in a total order."""
+def _check_limit(limit: int) -> None:
     if not 1 <= limit <= fv.MAX_PAGE_ROWS:
         raise ValueError(f"limit must be 1 to {fv.MAX_PAGE_ROWS}")
+
+
+def page(rows: DataFrame, order: Sequence[str], limit: int = fv.PAGE_ROWS, offset: int = 0) -> DataFrame:
+    """One page in a total order."""
+    _check_limit(limit)
     return rows.orderBy(*order).offset(offset).limit(limit)
 
 
@@ -61,6 +65,7 @@ def page_after(rows: DataFrame, order: Sequence[str], after: Mapping[str, object
 
     The bound on the leading column reaches the scan, the full comparison settles ties.
     """
+    _check_limit(limit)
     if after:
         lead = order[0]
         mine = F.struct(*order)
