@@ -120,6 +120,22 @@ placed AS (SELECT *, coalesce(sum(length(line)) OVER (PARTITION BY conv_id, pers
 SELECT conv_id, perspective, part, count(*) AS turns, string_agg(line, '' ORDER BY turn, speaker, text) AS text,
        coalesce(string_agg((begin_at + length(head)) || '-' || (begin_at + length(line)), ',' ORDER BY begin_at) FILTER (mine), '') AS masks
 FROM placed GROUP BY conv_id, perspective, part
+""",
+    # Every window is hashed and counted; a word is covered if one of the 35 windows over it repeats.
+    "op3_substring_dedup": r"""
+WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS MATERIALIZED (SELECT doc_id, p, md5(array_to_string(w[p:p + 34], ' ')) AS h
+                         FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)),
+repeats AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+hits AS (SELECT doc_id, p, true AS hit FROM windows JOIN repeats USING (h)),
+words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d),
+marked AS (SELECT doc_id, p, word, coalesce(bool_or(hit) OVER (
+             PARTITION BY doc_id ORDER BY p ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), false) AS gone
+           FROM words LEFT JOIN hits USING (doc_id, p)),
+told AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (NOT gone) AS kept
+         FROM marked GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN told USING (doc_id)
 """,
     # Seeds as joined words; then every place of a diagonal is compared and windows are summed.
     "op8_benchmark_decontamination": f"""

@@ -220,15 +220,16 @@ def links(fps: DataFrame, radius: int, groups: int | None = None, large: int = L
     return compared(blocks, radius, linked(radius), large)
 
 
-def connect(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
+def connect(edges: DataFrame) -> DataFrame:
     """``(node, root)``: the smallest node reachable over ``(a, b)``, for every node but the roots.
 
     Alternates large-star and small-star steps; each takes a minimum per node (combined before
-    the shuffle) and one join, and is cut in the shared folder.
+    the shuffle) and one join, and is cut in the shared folder.  Rounds grow with the logarithm of the
+    longest chain; the last one changes nothing.
     """
     edges = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
-    for _ in range(most_rounds):
+    while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low")).withColumnRenamed("a", "n")
         large = (both.join(low, both.a == low.n).filter(F.col("b") > F.col("a"))
