@@ -93,11 +93,11 @@ ROWS = (
     ("features", "ev_n_over_300", "feature", "count", "Half hours forecast above the threshold."),
     ("features", "ev_n_negative", "feature", "count", "Half hours forecast below zero."),
     ("features", "ev_max_demand", "feature", "MW", "Forecast peak demand."),
-    ("features", "ev_mean_demand", "feature", "MW", "Forecast mean demand."),
+    ("features", "ev_mean_demand", "feature", "MW", "Demand the forecasts expect, averaged over the day."),
     ("features", "ev_min_margin", "feature", "MW", "Tightest forecast margin."),
-    ("features", "ev_mean_margin", "feature", "MW", "Mean forecast margin."),
+    ("features", "ev_mean_margin", "feature", "MW", "Spare generation the forecasts expect, averaged over the day."),
     ("features", "ev_min_wind", "feature", "MW", "Lowest forecast wind."),
-    ("features", "ev_mean_wind", "feature", "MW", "Mean forecast wind."),
+    ("features", "ev_mean_wind", "feature", "MW", "Wind output the forecasts expect, averaged over the day."),
     ("features", "ev_max_solar", "feature", "MW", "Highest forecast solar."),
     ("features", "ev_mean_load_bid", "feature", "MW", "Mean flexible load on offer."),
     ("features", "fc_max_rrp", "feature", "$/MWh", "Highest forecast price, early snapshot."),
