@@ -1,5 +1,6 @@
 """Profiles, exact quantiles, evaluation, dictionary and reshaping."""
 
+import hashlib
 import math
 import random
 
@@ -69,8 +70,9 @@ def test_sample_is_repeatable_and_seeded(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
     a, b = explore.sample_rows(df, 50, ["k"]), explore.sample_rows(df.repartition(9), 50, ["k"])
     same_rows(a, b)
-    brute_force = sorted(df.select("k", F.xxhash64("k", F.lit(0)).alias("h")).collect(), key=lambda r: r.h)[:50]
-    assert {r.k for r in a.collect()} == {r.k for r in brute_force}
+    brute_force = sorted(range(1000), key=lambda k: hashlib.md5(f"{k}|0".encode()).hexdigest())[:50]
+    assert {r.k for r in a.collect()} == set(brute_force)
+    assert explore.sample_rows(df, 5000, ["k"]).count() == 1000 and explore.sample_rows(df, 0, ["k"]).count() == 0
     assert explore.sample_rows(df, 50, ["k"], seed=1).join(a, "k").count() < 50
 
 
