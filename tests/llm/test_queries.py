@@ -15,7 +15,7 @@ import corpus_pipeline
 from checks.compare import compare, connect
 from tidemark.llm import chat, mixing, nearcopies, quality, secretscan, simhash, suffix_array, suffix_tree, windows
 from tidemark.llm.queries import ORACLE, QUERIES
-from llm_tables import awkward, awkward_rows, empty  # noqa: F401
+from llm_tables import awkward, awkward_rows, empty, words  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
 SMALL = "/root/testdata/sf0.001"
@@ -346,6 +346,21 @@ def test_near_copies_keep_one_of_each_group(spark):
     assert kept == set(roots.values())
 
 
+def jaccard(a, b):
+    one, two = (set(simhash.shingle_hashes(t.encode(), 5).tolist()) for t in (a, b))
+    return len(one & two) / len(one | two)
+
+
+def test_near_copies_among_texts_of_one_template(spark):
+    """Alike texts that are no copies don't keep a copy from being verified."""
+    template = words(0, 170, 10**6).split()
+    texts = [" ".join(template + words(k, 24, 10**6).split()) for k in range(1, 401)]
+    copies = [" ".join(t.split()[:-7] + words(1000 + k, 6, 10**6).split()) for k, t in enumerate(texts[:60])]
+    assert jaccard(texts[70], texts[71]) < 0.79 and all(0.8 < jaccard(t, c) < 0.95 for t, c in zip(texts, copies))
+    docs = spark.createDataFrame(list(enumerate(texts + copies)), "doc_id long, text string").repartition(4)
+    assert {r.doc_id for r in nearcopies.one_of_each(docs).collect()} == set(range(400))
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     toxic = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").filter("toxic = 1").collect()}

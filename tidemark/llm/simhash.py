@@ -190,7 +190,7 @@ def compared(blocks: DataFrame, radius: int, compare, large: int = LARGE_BLOCK)
     own = spread.select(F.col("in_block").alias("own_block"), F.col("other").alias("own_pop"),
                         F.col("cells").alias("own_cells"))
     near = big.join(own, (F.col("block") == F.col("own_block")) & (F.col("pop") == F.col("own_pop")))
-    near = near.withColumn("cell", F.pmod(F.xxhash64("fp"), F.col("own_cells")).cast("int"))
+    near = near.withColumn("cell", F.pmod(F.xxhash64("fp", *others), F.col("own_cells")).cast("int"))
     rows = near.join(spread, (F.col("block") == F.col("in_block"))
                      & (F.col("other").between(F.col("pop") - radius, F.col("pop") + radius)))
     rows = rows.withColumn("other_cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
