@@ -361,6 +361,17 @@ def test_near_copies_among_texts_of_one_template(spark):
     assert {r.doc_id for r in nearcopies.one_of_each(docs).collect()} == set(range(400))
 
 
+def test_near_copies_with_a_repeated_passage(spark):
+    """Shingles count once, however often a text repeats them."""
+    texts = []
+    for k in range(8):
+        text, passage = words(k, 700, 10**6), words(100 + k, 15, 10**6)
+        texts += [f"{text} {passage}", " ".join([text, *[passage] * 40])]
+    assert all(jaccard(a, b) > 0.95 for a, b in zip(texts[::2], texts[1::2]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in nearcopies.one_of_each(docs).collect()} == set(range(0, 16, 2))
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     toxic = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").filter("toxic = 1").collect()}
