@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -327,6 +328,22 @@ def test_crowded_conversations_are_cut_in_parts(spark):
     assert said == sum(len(x[3]) + len(chat.END) for x in rows if x[2] == "ann")
 
 
+def test_crowded_conversations_keep_the_order_of_equal_turns(spark, tmp_path):
+    """Parts follow turn, speaker and text, and the query gives one row for a block, as its SQL does."""
+    rows = [(1, None if k % 2 else 3, ["ann", "bob"][k % 7 > 3], f"t{k * 37 % 1400}") for k in range(1400)] + [(1, 3, "ann", "t5")] * 700
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    got = [r for r in chat.rotate(df, most=100).collect() if r.perspective == "ann"]
+    got.sort(key=lambda r: (r.part.block is not None, r.part.number))
+    assert max(r.turns for r in got) <= 100 and len({r.part for r in got}) == len(got)
+    said = [m for r in got for m in re.findall(r"(t\d+)<", r.text)]
+    assert said == [r[3] for r in sorted(rows, key=lambda r: (r[1] is not None, r[2], r[3]))]
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    want = con.execute(ORACLE["op2_chat_perspectives"]).fetchall()
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in QUERIES["op2_chat_perspectives"](spark, str(tmp_path)).collect())
+
+
 # ------------------------------------------------------------------ pipeline
 
 def test_near_copies_keep_one_of_each_group(spark):

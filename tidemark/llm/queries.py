@@ -20,7 +20,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shown = chat.rotate(table(spark, sf_dir, "conversations"))
+    shown = chat.rotate(table(spark, sf_dir, "conversations"), most=None)
     masks = F.array_join(F.transform("masks", lambda m: F.concat_ws("-", m.start, m.stop)), ",")
     return shown.select("conv_id", "perspective", F.col("part.block").alias("part"), F.col("turns").cast("long").alias("turns"),
                         "text", masks.alias("masks"))
