@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, langid, mixing, quality, secretscan, simhash, suffix_array, suffix_tree, toxicity
+from tidemark.llm import (centroids, chat, decontaminate, langid, mixing, quality, secretscan, sharding, simhash, spelling, suffix_array,
+                          suffix_tree, toxicity)
 from tidemark.llm.common import fold
 
 
@@ -76,6 +77,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = sharding.pack(table(spark, sf_dir, "documents"), shards=40)
+    return packed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_chat_perspectives": op2_chat_perspectives,
@@ -87,6 +102,9 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_mix_sources": op9_mix_sources,
     "op10_toxicity": op10_toxicity,
+    "op11_sharding": op11_sharding,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 def _mask_words(words: str, at: str, number: int) -> str:
@@ -103,6 +121,29 @@ def _all_seeds(table_: str, id_: str, span_of: list[int]) -> str:
                               for n in range(len(decontaminate.MASKS)))
 
 
+def _clusters() -> str:
+    """Three rounds and a last assignment, unrolled; centroids are lists that whole lists are compared with."""
+    gap = "list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    steps = ["""v AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS rid, list_transform(embedding, lambda e: floor(64 * e::DOUBLE)::BIGINT) AS x
+             FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64)""",
+             """c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, x) - 1 AS k, x FROM v
+             QUALIFY k < 16)"""]
+    for r in range(4):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT rid, arg_min(k, (gap, k)) AS k, min(gap) AS gap
+                     FROM (SELECT rid, k, {gap} AS gap FROM v CROSS JOIN c{r} c) GROUP BY rid)""")
+        if r < 3:
+            steps.append(f"""m{r} AS (SELECT k, list(m ORDER BY i) AS x FROM (
+                         SELECT k, i, ((s - ((s % n + n) % n)) // n)::BIGINT AS m FROM (
+                         SELECT k, i, sum(e)::HUGEINT AS s, count(*)::HUGEINT AS n FROM (
+                         SELECT k, unnest(x) AS e, generate_subscripts(x, 1) AS i FROM v JOIN a{r} USING (rid)) GROUP BY k, i)) GROUP BY k)""")
+            steps.append(f"c{r + 1} AS MATERIALIZED (SELECT k, coalesce(m{r}.x, c{r}.x) AS x FROM c{r} LEFT JOIN m{r} USING (k))")
+    return "WITH " + ",\n".join(steps) + """
+SELECT vec_id, k::INT AS cluster, gap AS distance, (sum(gap) OVER (PARTITION BY k))::BIGINT AS cluster_inertia,
+       (sum(gap) OVER ())::BIGINT AS inertia, sha256(array_to_string(c3.x, ',')) AS centroid_sha256
+FROM a3 JOIN v USING (rid) JOIN c3 USING (k)
+"""
+
+
 _SPANS = [m[-1] + 1 for m in decontaminate.MASKS]
 _TOKENS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
 
@@ -160,5 +201,33 @@ SELECT doc_id, item_id, arg_max(start, (matched, -start))::BIGINT AS start, max(
        max(n)::BIGINT AS item_words
 FROM scored WHERE best >= ceil(least(n, {decontaminate.WINDOW}) * {decontaminate.SHARE})
 GROUP BY doc_id, item_id
+""",
+    "op12_centroid_clusters": _clusters(),
+    # The checksum is worked out bit by bit from its polynomial; near words meet in what is left without one letter.
+    "op13_spelling_variants": r"""
+WITH RECURSIVE bits AS (
+  SELECT list(list_reduce([i, 0, 1, 2, 3, 4, 5, 6, 7], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+              ORDER BY i) AS t FROM range(256) r(i)),
+runs AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+         FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]{7,}')) AS run FROM documents) GROUP BY ALL),
+spelt AS (SELECT run, times, list_concat([4294967295], flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+            lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT]
+                      ELSE [192 + (unicode(x) >> 6), 128 + (unicode(x) & 63)]::BIGINT[] END))) AS bytes FROM runs),
+summed AS (SELECT run, times, xor(list_reduce(bytes, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM spelt, bits),
+words AS MATERIALIZED (SELECT word, sum(times)::BIGINT AS n FROM (
+  SELECT CASE WHEN h % 31 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, times FROM summed)
+  GROUP BY word HAVING sum(times) >= 2 AND length(word) >= 7),
+lost AS MATERIALIZED (SELECT word, n, i, word[1:i] || word[i + 2:] AS rest
+                      FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS MATERIALIZED (
+  SELECT a.word, a.n, b.word AS other, b.n AS m FROM lost a JOIN lost b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM lost a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM lost a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-m, other)) AS form, max(m) AS form_n, any_value(n) AS n FROM near GROUP BY word),
+forms AS (SELECT word, form, form_n FROM best WHERE form_n >= 10 * n),
+chain AS (SELECT word, form AS root FROM forms UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON chain.root = forms.word),
+ends AS (SELECT word, root FROM chain WHERE root NOT IN (SELECT word FROM forms))
+SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, form, forms.form_n, coalesce(root, word) AS root
+FROM words LEFT JOIN (SELECT word, n_near FROM best) USING (word) LEFT JOIN forms USING (word) LEFT JOIN ends USING (word)
 """,
 }
