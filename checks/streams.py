@@ -10,10 +10,11 @@ from checks.base import query, rnd, rounded
 from checks.ingest import archives
 from checks.points import OUTCOME
 from checks.storage import FIRST, KEY, PRICE
-from tidemark.operators import batchlog, clean
+from tidemark.functions import timeaxis
+from tidemark.operators import asof, batchlog, clean, daily
 from tidemark.session import shared_folder
 from tidemark.specs import SPECS
-from tidemark.streaming import jobs
+from tidemark.streaming import corrections, jobs
 
 
 def land(df: DataFrame, folder: str, time_col: str) -> None:
@@ -146,3 +147,98 @@ def _(spark, sf):
     jobs.finish(jobs.stream_coverage(stream, "settlementdate", f"{root}/out", f"{root}/cp"))
     counts = jobs.latest(spark.read.parquet(f"{root}/out"), ["day"])
     return jobs.thin(counts, "2024-02-02", 10, 400)
+
+
+# ------------------------------------------------------------------ rows far behind any watermark
+
+def corrected(spark: SparkSession, rows: DataFrame, late, root: str, keys: dict, day, result, compacted: bool = False) -> DataFrame:
+    """The newest versions after the late rows landed weeks behind the newest of the others."""
+    land(rows.where(~late), f"{root}/landing", "ts")
+    for part in (None, rows.where(late)):
+        if part is not None:
+            part.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+        stream = jobs.landed(spark, f"{root}/landing", rows.schema, 2 if compacted else None)
+        jobs.finish(corrections.corrected(stream, keys, day, result, f"{root}/out", f"{root}/cp", fan_in=2 if compacted else 10))
+    schema = result(rows.limit(0)).schema
+    return corrections.latest(spark, f"{root}/out", schema, list(keys))
+
+
+def _late(event_id="event_id", ts="ts"):
+    return (F.col(event_id) % 10 == 0) & (F.col(ts) < F.lit("2024-01-06").cast("timestamp_ntz"))
+
+
+PRICES = ["event_id", "ts", "regionid", "settlementdate", "intervention", "source", "rrp", "price_status", "known_at"]
+
+
+@query("stream_late_outcome", rounded("""(
+    SELECT regionid, trading_day, max(rrp) AS actual_max_rrp, avg(rrp) AS actual_mean_rrp, min(rrp) AS actual_min_rrp,
+      count(*) FILTER (WHERE rrp > 300) AS actual_n_over_300, count(*) FILTER (WHERE rrp < 0) AS actual_n_negative,
+      CAST(max(rrp) > 300 AS INT) AS spike, count(*) AS n_intervals
+    FROM price_final GROUP BY ALL)""", *OUTCOME))
+def _(spark, sf):
+    """A late row of a trusted source replaces the price of its interval, so days are computed again from their rows."""
+    def result(rows):
+        final = clean.price_final(rows, ["event_id"])
+        return final.groupBy("regionid", "trading_day").agg(*daily.outcome_measures())
+
+    keys = {"regionid": F.col("regionid"), "trading_day": timeaxis.trading_day(F.col("settlementdate"))}
+    rows = base.a_price(spark, sf).select(*PRICES)
+    return rnd(corrected(spark, rows, _late(), shared_folder(spark, "late-outcome"), keys, keys["trading_day"], result))
+
+
+@query("stream_late_tumble", """
+    SELECT regionid, bucket_end, round(avg(rrp), 9) AS mean_rrp, count(*) AS n_intervals
+    FROM (SELECT regionid, rrp, time_bucket(INTERVAL 30 MINUTE, ts - INTERVAL 1 MICROSECOND) + INTERVAL 30 MINUTE
+            AS bucket_end FROM a_price WHERE intervention = 0) GROUP BY ALL""")
+def _(spark, sf):
+    end = timeaxis.interval_end_bucket(F.col("ts"), "30 minutes")
+
+    def result(rows):
+        return rows.groupBy("regionid", end.alias("bucket_end")).agg(
+            F.avg("rrp").alias("mean_rrp"), F.count(F.lit(1)).alias("n_intervals"))
+
+    rows = clean.pricing_run(base.a_price(spark, sf)).select("event_id", "ts", "regionid", "rrp")
+    keys = {"regionid": F.col("regionid"), "bucket_end": end}
+    return rnd(corrected(spark, rows, _late(), shared_folder(spark, "late-tumble"), keys, F.to_date("ts"), result))
+
+
+@query("stream_late_asof", "SELECT regionid, datetime, trading_day, vintage, rrp FROM asof_2000")
+def _(spark, sf):
+    """Forecasts that arrive weeks after their interval take their place if they were knowable in time."""
+    def result(rows):
+        return asof.unpack(asof.forecast_asof(rows, {"ev": 20}, ["vintage", "rrp"]), "ev")
+
+    rows = base.forecast(spark, sf).select("regionid", "datetime", "trading_day", "vintage", "source", "known_at",
+                                           "run_datetime", "rrp")
+    rows = rows.withColumns({"ts": F.col("datetime"), "event_id": F.substring_index("vintage", "-", -1).cast("bigint")})
+    keys = {c: F.col(c) for c in asof.FORECAST_KEYS}
+    return corrected(spark, rows, _late(), shared_folder(spark, "late-asof"), keys, F.col("trading_day"), result)
+
+
+@query("stream_late_coverage", """
+    SELECT d::DATE AS day, coalesce(n, 0) AS n_rows
+    FROM (SELECT unnest(generate_series(DATE '2024-01-23', DATE '2024-02-01', INTERVAL 1 DAY)) AS d)
+    LEFT JOIN (SELECT settlementdate::DATE AS k, count(*) AS n FROM a_price GROUP BY 1) ON k = d::DATE
+    WHERE coalesce(n, 0) < 400 * 0.8""")
+def _(spark, sf):
+    def result(rows):
+        return rows.groupBy(F.to_date("settlementdate").alias("day")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+    rows = base.a_price(spark, sf).select("event_id", "ts", "settlementdate")
+    day = F.to_date("settlementdate")
+    counts = corrected(spark, rows, (F.col("event_id") % 3 == 0), shared_folder(spark, "late-coverage"), {"day": day}, day, result)
+    return jobs.thin(counts, "2024-02-02", 10, 400)
+
+
+@query("compact_versions", """
+    SELECT settlementdate::DATE AS day, count(*) AS n_rows, true AS bounded FROM a_price GROUP BY 1""")
+def _(spark, sf):
+    """Rows and versions merged while batches go on; the folders left follow the logarithm of their number."""
+    def result(rows):
+        return rows.groupBy(F.to_date("settlementdate").alias("day")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+    rows = base.a_price(spark, sf).select("event_id", "ts", "settlementdate").repartition(4)
+    day, root = F.to_date("settlementdate"), shared_folder(spark, "compact")
+    counts = corrected(spark, rows, (F.col("event_id") % 3 == 0), root, {"day": day}, day, result, compacted=True)
+    left = len(corrections.current(spark, f"{root}/out"))
+    return counts.select("day", "n_rows", F.lit(left <= 4).alias("bounded"))

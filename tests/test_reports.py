@@ -167,7 +167,7 @@ def test_json_rows_ignore_unknown_fields_and_bad_dates(spark):
     assert got == [(1, ts("2024-01-01T00:05:00")), (2, None)]
 
 
-def zipped(text, name="PUBLIC_X_202409010005_20240901000400.CSV"):
+def one_report(text, name="PUBLIC_X_202409010005_20240901000400.CSV"):
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as z:
         z.writestr(name, text)
@@ -175,7 +175,7 @@ def zipped(text, name="PUBLIC_X_202409010005_20240901000400.CSV"):
 
 
 def test_a_broken_archive_is_reported_and_the_rest_read(spark):
-    good = zipped("\n".join([HEAD, row(), row(region="SA1")]))
+    good = one_report("\n".join([HEAD, row(), row(region="SA1")]))
     spoiled = bytearray(good)
     spoiled[60] ^= 255
     df = spark.createDataFrame([("a.zip", good), ("b.zip", b"not a zip"), ("c.zip", bytes(spoiled)), ("d.zip", good)],
@@ -192,7 +192,7 @@ def test_workers_need_no_copy_of_the_package(spark, tmp_path):
     import subprocess
     import sys
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    (tmp_path / "a.zip").write_bytes(zipped("\n".join([HEAD, row()])))
+    (tmp_path / "a.zip").write_bytes(one_report("\n".join([HEAD, row()])))
     script = (f"import sys; sys.path.insert(0, {root!r})\n"
               "from tidemark.session import build_session\nfrom tidemark.sources import reports\n"
               "spark = build_session('elsewhere', 'local[1]', **{'spark.ui.enabled': 'false'})\n"
@@ -207,7 +207,7 @@ def test_files_of_a_window_are_opened_once(spark, tmp_path):
     from tidemark.plans import ingest
     for k in range(4):
         (tmp_path / f"PUBLIC_DISPATCHIS_20240901000{k}_1.zip").write_bytes(
-            zipped("\n".join([HEAD, row(rrp=str(k)), row(region="SA1", rrp=str(k))])))
+            one_report("\n".join([HEAD, row(rrp=str(k)), row(region="SA1", rrp=str(k))])))
     (tmp_path / "PUBLIC_DISPATCHIS_202409010009_1.zip").write_bytes(b"broken")
     root = shared_folder(spark, "daily")
     stores = {"dispatchprice": f"{root}/price"}

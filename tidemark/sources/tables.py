@@ -32,10 +32,26 @@ def scan_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
+def _place(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Delete a folder wherever Spark keeps it; nothing happens if it is not there."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    system, folder = _place(spark, path)
+    system.delete(folder, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, folder = _place(spark, path)
+    return system.exists(folder)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder, none if it is not there."""
+    system, folder = _place(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(folder)) if system.exists(folder) else []
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
