@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import base
 from checks.base import PARAMS, query, rnd, rounded
 from tidemark.functions import physical, provenance, timeaxis
-from tidemark.operators import asof, clean, daily
+from tidemark.operators import asof, asofjoin, clean, daily
 from tidemark.plans import features as plan
 
 OUTCOME = (["actual_max_rrp", "actual_mean_rrp", "actual_min_rrp"],
@@ -387,3 +387,37 @@ def _(spark, sf):
     actual = clean.pricing_run(base.a_price(spark, sf)).select("regionid", F.col("ts").alias("settlementdate"), "rrp")
     return rnd(explore.downsample_compare(
         picked.select("regionid", "datetime", F.col("rrp").alias("forecast_rrp")), actual))
+
+
+@query("asof_join", """
+    WITH known AS (SELECT regionid, known_at, arg_max({'rrp': rrp, 'price_event': event_id}, event_id) AS v
+                   FROM a_price WHERE intervention = 0 GROUP BY ALL)
+    SELECT p.event_id, p.regionid, p.ts, v.rrp AS known_rrp, v.price_event AS known_event
+    FROM a_price p ASOF LEFT JOIN known ON p.regionid = known.regionid AND p.ts >= known.known_at""")
+def _(spark, sf):
+    """Every event beside the newest price of its region that was published by then; each row has its own cutoff."""
+    p = base.a_price(spark, sf)
+    known = clean.pricing_run(p).select("regionid", "known_at", F.col("rrp").alias("known_rrp"), F.col("event_id").alias("known_event"))
+    return asofjoin.asof_join(p.select("event_id", "regionid", "ts"), known, ["regionid"], "ts", "known_at",
+                              ["known_rrp", "known_event"], ["known_event"])
+
+
+@query("asof_join_cutoffs", """
+    WITH cutoffs AS (SELECT DISTINCT regionid, datetime, (trading_day - 1)::TIMESTAMP + to_hours(h) AS cutoff, h AS hours
+                     FROM forecast, (SELECT unnest([6, 13, 20, 23]) AS h)),
+    known AS (SELECT regionid, datetime, coalesce(known_at, run_datetime - INTERVAL 30 MINUTE) AS known,
+                arg_max({'vintage': vintage, 'rrp': rrp}, (vintage, -list_position(['mmsdm', 'report_archive', 'report_current'], source))) AS v
+              FROM forecast GROUP BY ALL)
+    SELECT c.regionid, c.datetime, c.hours, v.vintage AS vintage, v.rrp AS rrp
+    FROM cutoffs c ASOF LEFT JOIN known k ON c.regionid = k.regionid AND c.datetime = k.datetime AND c.cutoff >= k.known""")
+def _(spark, sf):
+    """Cutoffs that come from a table: any number for an interval, without one pass or column for each."""
+    fc = base.forecast(spark, sf)
+    hours = F.explode(F.array(*[F.lit(h) for h in (6, 13, 20, 23)])).alias("hours")
+    cutoffs = fc.select("regionid", "datetime", "trading_day").distinct().select("*", hours)
+    at = timeaxis.ntz(F.date_sub("trading_day", 1)) + F.make_dt_interval(hours=F.col("hours"))
+    cutoffs = cutoffs.select("regionid", "datetime", "hours", at.alias("cutoff"))
+    known = fc.select("regionid", "datetime", asof.knowledge().alias("known"), "vintage", "rrp",
+                      (-provenance.source_rank(F.col("source"))).alias("trust"))
+    return asofjoin.asof_join(cutoffs, known, ["regionid", "datetime"], "cutoff", "known", ["vintage", "rrp"],
+                              ["vintage", "trust"]).drop("cutoff")

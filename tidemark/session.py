@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf) -> SparkSession:
@@ -52,3 +52,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-")
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed in the shared folder: its partitions and their order stay as they are from then on."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession, "checkpoints"))
+    return df.checkpoint()
