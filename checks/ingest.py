@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import io
 import zipfile
 
@@ -16,10 +17,12 @@ from tidemark.functions import provenance, timeaxis
 from tidemark.operators import clean, merge
 from tidemark.session import shared_folder
 from tidemark.operators import batchlog
-from tidemark.plans import ingest
+from tidemark.plans import backfill, ingest
 from tidemark.sources import files, reports, tables
 from tidemark.specs import SPECS
 
+PRICE = SPECS["dispatchprice"]
+
 # ------------------------------------------------------------------ file names made from events
 
 
@@ -316,30 +319,80 @@ def _(spark, sf):
     return tables.value_counts_by_file(base.a_price(spark, sf), "intervention", "source_file")
 
 
-@query("daily_ingest", """
-    WITH f AS (SELECT * FROM a_price WHERE event_id // 200 < 30),
-    told AS (SELECT count(DISTINCT event_id // 200) AS opened, count(*) AS pulled,
-               count(DISTINCT (regionid, settlementdate, intervention)) AS appended FROM f)
-    SELECT run, table_name, CASE WHEN run = 'first' THEN opened ELSE 0 END::BIGINT AS opened, pulled, appended
-    FROM told, (SELECT unnest(['first', 'second']) AS run), (SELECT unnest(['dispatchprice', 'dispatchregionsum']) AS table_name)
-    WHERE run = 'first'
-    UNION ALL SELECT 'second', NULL, 0, 0, 0""")
-def _(spark, sf):
-    """The window's unseen archives into two tables; a second run opens none and adds nothing."""
-    root = shared_folder(spark, "daily-ingest")
+def landed_archives(spark, sf, root):
+    """All archives stamped a minute apart, as a listing and a reader of chosen paths."""
     number = F.regexp_extract("path", r"_(\d+)\.zip$", 1).cast("int")
     stamp = F.date_format(F.lit("2024-02-01").cast("timestamp_ntz") + F.make_dt_interval(mins=number), "yyyyMMddHHmm")
     path = F.concat(F.lit("landing/Reports/Current/PUBLIC_DISPATCHIS_"), stamp, F.lit("_1.zip"))
     archives(spark, sf).select(path.alias("path"), "content").write.parquet(f"{root}/landed")
     landed = spark.read.parquet(f"{root}/landed")
     listing = landed.select("path", files.file_name(F.col("path")).alias("name"))
-    window = [F.lit(t).cast("timestamp_ntz") for t in ("2024-02-01 00:00:00", "2024-02-01 00:30:00")]
+    return listing, lambda paths: landed.where(F.col("path").isin(paths))
+
+
+@query("daily_ingest", """
+    WITH told AS (SELECT count(DISTINCT event_id // 200) AS opened, count(*) AS pulled,
+               count(DISTINCT (regionid, settlementdate, intervention)) AS appended FROM a_price),
+    thin AS (SELECT count(*) AS thin FROM (SELECT unnest(generate_series(DATE '2024-01-23', DATE '2024-02-01', INTERVAL 1 DAY)) AS d)
+             LEFT JOIN (SELECT settlementdate::DATE AS k, count(DISTINCT (regionid, settlementdate, intervention)) AS n FROM a_price GROUP BY 1)
+               ON k = d::DATE WHERE coalesce(n, 0) < 120 * 0.8)
+    SELECT table_name, 3::BIGINT AS windows, opened, pulled, appended, 0::BIGINT AS opened_again, 0::BIGINT AS failed, thin
+    FROM told, thin, (SELECT unnest(['dispatchprice', 'dispatchregionsum']) AS table_name)""")
+def _(spark, sf):
+    """All archives in three consecutive windows into two tables; a second run opens none; then the thin days of the result."""
+    root = shared_folder(spark, "daily-ingest")
+    listing, read = landed_archives(spark, sf, root)
+    start, end = (F.lit(t).cast("timestamp_ntz") for t in ("2024-02-01 00:00:00", "2054-02-01 00:00:00"))
     stores = {n: f"{root}/{n}" for n in ("dispatchprice", "dispatchregionsum")}
-    opened = {run: ingest.ingest_window(spark, listing, lambda paths: landed.where(F.col("path").isin(paths)), stores, *window,
-                                        f"{root}/log", run, root).opened for run in ("first", "second")}
-    told = batchlog.trail(spark, f"{root}/log").where("status = 'success'").select(
-        F.col("batch").alias("run"), "table_name", F.lit(opened["first"]).cast("bigint").alias("opened"), "pulled", "appended")
-    zero = F.lit(0).cast("bigint")
-    again = spark.range(1).select(F.lit("second").alias("run"), F.lit(None).cast("string").alias("table_name"),
-                                  F.lit(opened["second"]).cast("bigint").alias("opened"), zero.alias("pulled"), zero.alias("appended"))
-    return told.unionByName(again)
+    most = -(-listing.count() // 3)
+    runs = [ingest.ingest_range(spark, listing, read, stores, start, end, f"{root}/log", job, root, most) for job in ("first", "second")]
+    thin = ingest.thin_days(spark, stores, {n: 120 for n in stores}, "2024-02-02", 10).groupBy("table_name").agg(F.count("*").alias("thin"))
+    opened = batchlog.file_trail(spark, f"{root}/log").agg(F.sum("opened").alias("opened"), F.sum("failed").alias("failed"))
+    told = batchlog.trail(spark, f"{root}/log").where("status = 'success'").groupBy("table_name").agg(
+        F.count("*").alias("windows"), F.sum("pulled").alias("pulled"), F.sum("appended").alias("appended"))
+    return (told.join(F.broadcast(opened), how="left", on=F.lit(True)).join(thin, "table_name", "left")
+            .select("table_name", "windows", "opened", "pulled", "appended", F.lit(runs[1].opened).cast("bigint").alias("opened_again"),
+                    "failed", F.coalesce("thin", F.lit(0).cast("bigint")).alias("thin")))
+
+
+@query("backfill_layers", """
+    WITH shifted AS (SELECT event_id, regionid, settlementdate - to_months((event_id % 3)::INT) AS settlementdate, intervention, rrp FROM a_price),
+    finals AS (SELECT regionid, settlementdate, intervention, 'mmsdm' AS source, min(rrp) AS rrp FROM shifted
+               WHERE settlementdate >= TIMESTAMP '2023-11-10' AND settlementdate < TIMESTAMP '2024-01-20' GROUP BY ALL),
+    reports AS (SELECT regionid, settlementdate, intervention, 'report_current' AS source, arg_min(rrp, (event_id // 200, rrp)) AS rrp
+                FROM a_price GROUP BY ALL)
+    SELECT * FROM finals UNION ALL SELECT * FROM reports WHERE settlementdate >= TIMESTAMP '2024-01-20'""")
+def _(spark, sf):
+    """Months of finals from a start date, then reports; killed in the middle, run again, and once more for nothing."""
+    root = shared_folder(spark, "backfill")
+    t = F.col("settlementdate") - F.make_ym_interval(F.lit(0), (F.col("event_id") % 3).cast("int"))
+    raw = base.a_price(spark, sf).select(t.alias("SETTLEMENTDATE"), F.col("regionid").alias("REGIONID"), F.col("intervention").alias("INTERVENTION"),
+                                         F.col("rrp").alias("RRP"))
+    raw = raw.withColumn("yyyymm", F.date_format("SETTLEMENTDATE", "yyyyMM"))
+    raw.hint("rebalance", "yyyymm").write.partitionBy("yyyymm").parquet(f"{root}/extracts")
+
+    def extract(table, year, month):
+        path = f"{root}/extracts/yyyymm={year}{month:02d}"
+        return spark.read.parquet(path) if tables.exists(spark, path) else None
+
+    listing, read = landed_archives(spark, sf, root)
+    most, calls = -(-listing.count() // 2), []
+
+    def dies(paths):
+        calls.append(len(paths))
+        if len(calls) > 1:
+            raise RuntimeError("killed")
+        return read(paths)
+
+    stores = {"dispatchprice": f"{root}/dispatchprice"}
+    start, cutoff, end = (dt.datetime.fromisoformat(d) for d in ("2023-11-10", "2024-01-20", "2054-01-01"))
+    for reader in (dies, read, read):
+        try:
+            backfill.backfill(spark, extract, listing, reader, stores, start, cutoff, end, f"{root}/log", "back", root, ("known_at", "rrp"), most)
+        except RuntimeError as e:
+            if str(e) != "killed":
+                raise
+    table = spark.read.schema(PRICE.schema).parquet(stores["dispatchprice"])
+    final = table.where("source = 'mmsdm'")
+    return merge.layered(final, table.where("source <> 'mmsdm'"), "settlementdate", timeaxis.literal(cutoff)).select(
+        "regionid", "settlementdate", "intervention", "source", "rrp")

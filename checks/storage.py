@@ -13,7 +13,7 @@ from tidemark.dictionary import ROWS
 from tidemark.functions import timeaxis
 from tidemark.operators import batchlog, catalog, merge, quality, serving
 from tidemark.plans import features as plan
-from tidemark.plans import warehouse
+from tidemark.plans import backfill, warehouse
 from tidemark.session import shared_folder
 from tidemark.sources import tables
 from tidemark.specs import SPECS, TableSpec
@@ -170,6 +170,19 @@ def _(spark, sf):
     return spark.read.parquet(path).select("o_orderkey", "o_totalprice")
 
 
+@query("rebuild_from", """
+    SELECT o_orderkey, CASE WHEN o_orderdate >= DATE '1996-07-10' THEN 2 * o_totalprice ELSE o_totalprice END AS o_totalprice
+    FROM orders WHERE o_orderkey % 29 <> 0 AND o_orderdate < DATE '1998-01-01'""")
+def _(spark, sf):
+    """Everything from a date on is replaced, within its year and after it; years the new rows do not reach go."""
+    path = shared_folder(spark, "rebuild-from")
+    rows = dated_orders(spark, sf)
+    merge.write_partitioned(rows, ORDERS, path)
+    fresh = rows.withColumn("o_totalprice", 2 * F.col("o_totalprice")).where(F.col("o_orderdate") < F.lit("1998-01-01").cast("date"))
+    backfill.rebuild_from(spark, path, fresh, ORDERS, F.lit("1996-07-10").cast("timestamp_ntz"))
+    return spark.read.parquet(path).select("o_orderkey", "o_totalprice")
+
+
 @query("load_sorted", """
     SELECT strftime(o_orderdate, '%Y%m')::INT AS yyyymm, count(*) AS n FROM orders WHERE o_orderkey % 29 <> 0 GROUP BY 1""")
 def _(spark, sf):

@@ -23,6 +23,7 @@ ROLLING_ROWS = 7
 # Rows a healthy day holds per table family, and the share below which it is thin.
 EXPECTED_ROWS_PER_DAY = {"dispatch": 1440, "predispatch": 13000}
 THIN_SHARE = 0.8
+THIN_DAYS = 3
 
 # Range reads.
 PAGE_ROWS = 10000

@@ -45,6 +45,28 @@ def trail(spark: SparkSession, log: str) -> DataFrame:
                        "e.duplicates", "e.already_held", status.alias("status"), "e.message", F.col("e.at").alias("finished_at"))
 
 
+def closed(spark: SparkSession, log: str) -> set[tuple[str, str]]:
+    """Jobs and batches that are closed, by the names of their folders; no entry is read."""
+    at = f"{log}/phase=closed"
+    return {(job.removeprefix("job="), batch.removeprefix("batch=")) for job in tables.children(spark, at) if job.startswith("job=")
+            for batch in tables.children(spark, f"{at}/{job}") if batch.startswith("batch=")}
+
+
+FILES = "opened bigint, failed bigint, path string, error string"
+
+
+def note_files(spark: SparkSession, log: str, batch: str, opened: int, failed: dict[str, str]) -> None:
+    """How many files a batch opened, and every one that could not be read, in the trail of files."""
+    rows = [(opened, len(failed), path, error) for path, error in failed.items()] or [(opened, 0, None, None)]
+    spark.createDataFrame(rows, FILES).coalesce(1).write.mode("overwrite").parquet(f"{log}-opened/batch={batch}")
+
+
+def file_trail(spark: SparkSession, log: str) -> DataFrame:
+    """``(batch, opened, failed, path, error)``: one row for each failed file, or one for a batch without any."""
+    schema = spark.createDataFrame([], f"{FILES}, batch string").schema
+    return tables.scan_or_empty(spark, f"{log}-opened", schema).select("batch", "opened", "failed", "path", "error")
+
+
 def _note(spark: SparkSession, log: str, phase: str, job: str, batch: str, entry: dict) -> None:
     row = {**entry, "at": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)}
     (spark.createDataFrame([row], ENTRY).coalesce(1).write.mode("overwrite")
