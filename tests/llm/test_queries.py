@@ -378,6 +378,42 @@ def test_near_copies_among_texts_of_one_template(spark):
     assert {r.doc_id for r in nearcopies.one_of_each(docs).collect()} == set(range(400))
 
 
+@pytest.mark.parametrize("size", [150, 600])
+def test_verified_links_follow_the_members(spark, size):
+    """Texts of one template, none a copy of another: no pair leaves its task; true groups send a forest."""
+    base = words(5, 200, 10**6).split()
+    chance = random.Random(size)
+    texts = []
+    for k in range(size):
+        w = list(base)
+        for at in chance.sample(range(200), 3):
+            w[at] = f"x{k}y{at}"
+        texts.append(w)
+    sets = spark.createDataFrame([(k, 0, sorted({hash(" ".join(w[i:i + 5])) for i in range(196)})) for k, w in enumerate(texts)],
+                                 "sig long, cluster long, shingles array<long>")
+    found = {(r.a, r.b) for r in nearcopies.links(sets, 0.8).collect()}
+    exact = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    own = [{hash(" ".join(w[i:i + 5])) for i in range(196)} for w in texts]
+    true = {(a, b) for a in range(size) for b in range(a) if exact(own[a], own[b])}
+    assert len(found) < size
+    roots = smallest_reachable(range(size), lambda a, b: (max(a, b), min(a, b)) in true)
+    linked = smallest_reachable(range(size), lambda a, b: (a, b) in found or (b, a) in found)
+    assert roots == linked
+
+
+@pytest.mark.parametrize("chunk", [3, 8, 1000])
+def test_clusters_of_several_chunks_lose_no_link(spark, chunk):
+    """One large group, stragglers linked to its edge, and chains, whatever the size of a chunk."""
+    chance = random.Random(7)
+    sets = [set(range(k, k + 60)) for k in [0] * 20 + list(range(0, 120, 5)) + [400, 403, 409, 800]]
+    sets = [s - set(chance.sample(sorted(s), 2)) for s in sets]
+    df = spark.createDataFrame([(k, 5, sorted(s)) for k, s in enumerate(sets)], "sig long, cluster long, shingles array<long>")
+    near = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    edges = {(r.a, r.b) for r in nearcopies.links(df, 0.8, chunk=chunk).collect()}
+    n = range(len(sets))
+    assert smallest_reachable(n, lambda a, b: (a, b) in edges or (b, a) in edges) == smallest_reachable(n, near)
+
+
 def test_near_copies_with_a_repeated_passage(spark):
     """Shingles count once, however often a text repeats them."""
     texts = []
