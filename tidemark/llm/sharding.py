@@ -177,7 +177,8 @@ def numbered(df: DataFrame, key: list[str], order: list[str], name: str, rows: i
     held = held.withColumnsRenamed({k: f"_of_{k}" for k in key})
     same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in key]
     share = F.shiftrightunsigned("draw", 11) / F.lit(float(1 << 53))
-    dealt = df.join(held, same).withColumn("_bucket", F.floor(share * F.col("_buckets"))).drop(*held.columns)
+    # Every caller numbers few keys: size classes, shards or groups that are looked up by broadcast.
+    dealt = df.join(F.broadcast(held), same).withColumn("_bucket", F.floor(share * F.col("_buckets"))).drop(*held.columns)
     sums = dealt.groupBy(*key, "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
