@@ -179,17 +179,16 @@ def _score(model: Model, text: str, piece_of: np.ndarray, owner: np.ndarray, lan
 
 
 def training_pieces(docs: DataFrame, train: Column, lang_col: str, text_col: str, per_language: int) -> list:
-    """At most ``per_language`` pieces of each language, from seeded texts and places."""
+    """At most ``per_language`` pieces of each language, from seeded texts and places.
+
+    Of more than ``MAX_LANGUAGES`` languages those with the most distinct texts are learned.
+    """
     rows = docs.filter(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = rows.groupBy(F.col(lang_col).alias("lang")).count().limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not counts:
-        return []
-    spark = docs.sparkSession
-    # Twice the wanted share by hash, then the least hashes; the table has a row per language.
-    share = spark.createDataFrame([(r.lang, min(1.0, 2.0 * per_language / r["count"] + 1e-4)) for r in counts],
-                                  "of_lang string, share double")
+    # Draws are by distinct text, so shares are of distinct texts: copies take no place from others.
+    kinds = rows.select(F.col(lang_col).alias("of_lang"), F.xxhash64(F.lit(11), F.col(text_col)).alias("draw")).distinct()
+    # Twice the wanted share by hash, then the least hashes; the table has at most MAX_LANGUAGES rows.
+    share = kinds.groupBy("of_lang").count().orderBy(F.desc("count"), "of_lang").limit(MAX_LANGUAGES).select(
+        "of_lang", F.least(F.lit(1.0), 2.0 * per_language / F.col("count") + 1e-4).alias("share"))
     drawn = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
                         F.xxhash64(F.lit(11), F.col(text_col)).alias("draw"))
     drawn = drawn.join(F.broadcast(share), F.col("lang") == F.col("of_lang"))
