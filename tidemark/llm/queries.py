@@ -21,9 +21,9 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shown = chat.rotate(table(spark, sf_dir, "conversations"), most=None)
+    shown = chat.rotate(table(spark, sf_dir, "conversations"))
     masks = F.array_join(F.transform("masks", lambda m: F.concat_ws("-", m.start, m.stop)), ",")
-    return shown.select("conv_id", "perspective", F.col("part.block").alias("part"), F.col("turns").cast("long").alias("turns"),
+    return shown.select("conv_id", "perspective", F.col("part.block").alias("part"), F.col("part.number").alias("number"), F.col("turns").cast("long").alias("turns"),
                         "text", masks.alias("masks"))
 
 
@@ -150,17 +150,19 @@ _TOKENS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
 ORACLE: dict[str, str] = {
     "op2_chat_perspectives": f"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text,
-                  (turn // {chat.BLOCK})::BIGINT AS part FROM conversations),
+                  floor(turn / {chat.BLOCK}.0)::BIGINT AS part FROM conversations),
+cut AS (SELECT *, (row_number() OVER (PARTITION BY conv_id, part ORDER BY turn, speaker, text) - 1) // {chat.MOST} AS number FROM t),
 p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> '{chat.SYSTEM}'),
-heads AS (SELECT t.*, perspective, speaker = perspective AS mine,
+heads AS (SELECT cut.*, perspective, speaker = perspective AS mine,
                  CASE WHEN speaker = perspective THEN '<|assistant|>' WHEN speaker = '{chat.SYSTEM}' THEN '<|system|>'
-                      ELSE '<|user name=' || speaker || '|>' END || chr(10) AS head FROM t JOIN p USING (conv_id)),
+                      ELSE '<|user name=' || speaker || '|>' END || chr(10) AS head
+          FROM cut JOIN p ON cut.conv_id IS NOT DISTINCT FROM p.conv_id),
 lines AS (SELECT *, head || text || '<|end|>' || chr(10) AS line FROM heads),
-placed AS (SELECT *, coalesce(sum(length(line)) OVER (PARTITION BY conv_id, perspective, part ORDER BY turn, speaker, text
+placed AS (SELECT *, coalesce(sum(length(line)) OVER (PARTITION BY conv_id, perspective, part, number ORDER BY turn, speaker, text
                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begin_at FROM lines)
-SELECT conv_id, perspective, part, count(*) AS turns, string_agg(line, '' ORDER BY turn, speaker, text) AS text,
+SELECT conv_id, perspective, part, number, count(*) AS turns, string_agg(line, '' ORDER BY turn, speaker, text) AS text,
        coalesce(string_agg((begin_at + length(head)) || '-' || (begin_at + length(line)), ',' ORDER BY begin_at) FILTER (mine), '') AS masks
-FROM placed GROUP BY conv_id, perspective, part
+FROM placed GROUP BY conv_id, perspective, part, number
 """,
     # Every window is hashed and counted; a word is covered if one of the 35 windows over it repeats.
     "op3_substring_dedup": r"""
