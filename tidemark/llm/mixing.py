@@ -107,17 +107,20 @@ def route(capacity: list[int], members: list[list], quota: dict, repeats: int) -
 
 def mix(docs: DataFrame, sources: Column, size: Column, order: Column, keep: list[str], weights=WEIGHTS,
         factor: float = FACTOR, repeats: int = MOST_REPEATS, max_patterns: int = MOST_PATTERNS,
-        rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+        rows_per_bucket: int = ROWS_PER_BUCKET, wide: bool = False) -> DataFrame:
     """``keep`` columns plus ``size``, ``members``, ``taken`` and ``shares`` (words for each source).
 
+    With ``wide`` the kept columns are read again from ``docs`` for the last step and not stored in between.
+
     ``sources`` is an array column, ``order`` a seeded hash that settles which documents go first.
     Weights repeat over the sources in code-point order, null last.
     """
-    rows = docs.select(F.struct(*keep).alias("kept"), F.array_distinct(sources).alias("members"),
+    rows = docs.select(F.struct(*[F.col(f"`{k}`") for k in keep]).alias("kept"), F.array_distinct(sources).alias("members"),
                        size.alias("size"), order.alias("draw"))
     rows = rows.withColumn("pattern", F.to_json(F.array_sort("members"))).drop("members")
-    rows = cut(rows)
-    patterns = (rows.groupBy("pattern").agg(F.sum("size").alias("words"), F.count("*").alias("n"))
+    narrow = cut(rows.drop("kept") if wide else rows)
+    rows = rows if wide else narrow
+    patterns = (narrow.groupBy("pattern").agg(F.sum("size").alias("words"), F.count("*").alias("n"))
                 .limit(max_patterns + 1).collect())
     if len(patterns) > max_patterns:
         raise ValueError(f"more than {max_patterns} membership patterns")
@@ -149,10 +152,11 @@ def mix(docs: DataFrame, sources: Column, size: Column, order: Column, keep: lis
                            T.StructField("flow", T.LongType()), T.StructField("buckets", T.LongType()),
                            T.StructField("stretches", stretch), T.StructField("goals", goal)])
     plan = F.broadcast(docs.sparkSession.createDataFrame(table, schema))  # at most max_patterns rows
-    dealt = rows.join(plan, rows.pattern == F.col("for_pattern")).withColumn(
-        "bucket", F.pmod(F.xxhash64("draw"), F.col("buckets")))
+    def in_buckets(some: DataFrame) -> DataFrame:
+        return some.join(plan, some.pattern == F.col("for_pattern")).withColumn("bucket", F.pmod(F.xxhash64("draw"), F.col("buckets")))
 
-    sums = dealt.groupBy("pattern", "bucket").agg(F.sum("size").alias("in_bucket"))
+    dealt = in_buckets(rows)
+    sums = in_buckets(narrow).groupBy("pattern", "bucket").agg(F.sum("size").alias("in_bucket"))
     before = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(F.col("pattern").alias("of_pattern"), F.col("bucket").alias("of_bucket"),
                        F.coalesce(F.sum("in_bucket").over(before), F.lit(0)).alias("base"))
@@ -170,6 +174,19 @@ def mix(docs: DataFrame, sources: Column, size: Column, order: Column, keep: lis
                          shares.alias("shares"))
 
 
+ADDED = ("size", "source_size", "target", "taken")
+
+
+def mix_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED,
+             **settings) -> DataFrame:
+    """Every row with all its columns and the mix's ``ADDED`` ones, which replace columns of those names."""
+    text, names = F.col(text_col).cast("string"), [c for c in docs.columns if c not in ADDED]
+    mixed = mix(docs, F.array(F.col(source_col).cast("string")), word_count(text), F.xxhash64(F.lit(seed), id_col, text), names,
+                wide=True, **settings)
+    own = [F.col(f"`{c}`") for c in names]
+    return mixed.select(*own, F.col("goals")[0].words.alias("source_size"), F.col("goals")[0].target.alias("target"), "size", "taken")
+
+
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                   seed: int = SEED, **settings) -> DataFrame:
     """The mix of a table in which every document names one source.
