@@ -33,19 +33,32 @@ def awkward(spark, tmp_path_factory):
                   [(0, 0, 0), (1, None, None), (None, 1, 1), (4, 1, 0), (4, 0, 1), (7, 1, 1), (9, None, 1), (13, 1, 0)],
                   [(0, None), (1, ""), (2, "short item"), (3, words(2, 60)), (3, words(2, 60)), (None, words(9, 70))],
                   [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (1, 1, "assistant", "yo"), (1, None, None, None),
-                   (None, 0, "user", ""), (2, 0, "system", "only"), (3, None, "a", None), (3, 2, "b", "x" * 10_000)])
+                   (None, 0, "user", ""), (2, 0, "system", "only"), (3, None, "a", None), (3, 2, "b", "x" * 10_000)],
+                  awkward_vectors())
+
+
+def awkward_vectors():
+    """Kept: 0 to 39 but five, a repeated row, two vectors of one id, a null id.  Left out: null, short, long, null and non-finite parts."""
+    chance = random.Random(3)
+    rows = [(k, [chance.gauss(0, 0.3) for _ in range(64)]) for k in range(40)]
+    rows += [rows[7], (8, [0.5] * 64), (None, [0.0] * 64), (50, [-1 / 64] * 64), (51, [-1.0 / 128] * 64)]
+    rows += [(60, None), (61, []), (62, [0.1] * 63), (63, [0.1] * 65), (64, [0.1] * 63 + [None]), (65, [0.1] * 63 + [float("nan")]),
+             (66, [float("inf")] + [0.1] * 63)]
+    return rows
 
 
 @pytest.fixture(scope="session")
 def empty(spark, tmp_path_factory):
-    return stored(spark, tmp_path_factory.mktemp("empty"), [], [], [], [])
+    return stored(spark, tmp_path_factory.mktemp("empty"), [], [], [], [], [])
 
 
-def stored(spark, folder, documents, labels, benchmark, conversations):
+def stored(spark, folder, documents, labels, benchmark, conversations, embeddings):
     extra = (None,) * (CLASH.count(",") - 1) + (-1,)
     spark.createDataFrame([r + extra for r in documents], DOC + CLASH).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame(benchmark, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     spark.createDataFrame(conversations, "conv_id long, turn long, role string, text string").write.parquet(
         f"{folder}/conversations.parquet")
+    spark.createDataFrame([(i, v, 1, -1) for i, v in embeddings], "vec_id long, embedding array<float>, label int, cluster int").write.parquet(
+        f"{folder}/embeddings.parquet")
     return str(folder)

@@ -22,7 +22,7 @@ SF = "/root/testdata/sf0.01"
 SMALL = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 PER_ROW = ["op1_language_id", "op3_substring_dedup", "op5_suffix_array_dedup", "op6_simhash_near_dedup", "op7_quality_rules",
-           "op9_mix_sources", "op10_toxicity"]
+           "op9_mix_sources", "op10_toxicity", "op11_sharding"]
 
 
 @pytest.mark.parametrize("name", [*QUERIES, "pipeline"])

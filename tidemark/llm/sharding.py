@@ -183,7 +183,7 @@ def numbered(df: DataFrame, key: list[str], order: list[str], name: str, rows: i
     before = Window.partitionBy(*key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     sums = sums.withColumnsRenamed({k: f"_of_{k}" for k in [*key, "_bucket"]})
-    inside = Window.partitionBy(*key, "_bucket").orderBy("draw", *order)
+    inside = Window.partitionBy(*key, "_bucket").orderBy(F.shiftrightunsigned("draw", 11), "draw", *order)
     ranked = dealt.join(sums, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in [*key, "_bucket"]])
     ranked = ranked.withColumn(name, (F.col("_base") + F.row_number().over(inside) - 1).cast("long"))
     return ranked.drop("_bucket", "_base", *[f"_of_{k}" for k in [*key, "_bucket"]])
