@@ -347,12 +347,13 @@ def _(spark, sf):
     most = -(-listing.count() // 3)
     runs = [ingest.ingest_range(spark, listing, read, stores, start, end, f"{root}/log", job, root, most) for job in ("first", "second")]
     thin = ingest.thin_days(spark, stores, {n: 120 for n in stores}, "2024-02-02", 10).groupBy("table_name").agg(F.count("*").alias("thin"))
-    opened = batchlog.file_trail(spark, f"{root}/log").agg(F.sum("opened").alias("opened"), F.sum("failed").alias("failed"))
+    opened, failed = batchlog.file_trail(spark, f"{root}/log").agg(F.sum("opened"), F.sum("failed")).first()
     told = batchlog.trail(spark, f"{root}/log").where("status = 'success'").groupBy("table_name").agg(
         F.count("*").alias("windows"), F.sum("pulled").alias("pulled"), F.sum("appended").alias("appended"))
-    return (told.join(F.broadcast(opened), how="left", on=F.lit(True)).join(thin, "table_name", "left")
-            .select("table_name", "windows", "opened", "pulled", "appended", F.lit(runs[1].opened).cast("bigint").alias("opened_again"),
-                    "failed", F.coalesce("thin", F.lit(0).cast("bigint")).alias("thin")))
+    say = lambda v, name: F.lit(v).cast("bigint").alias(name)
+    return (told.join(thin, "table_name", "left")
+            .select("table_name", "windows", say(opened, "opened"), "pulled", "appended", say(runs[1].opened, "opened_again"),
+                    say(failed, "failed"), F.coalesce("thin", F.lit(0).cast("bigint")).alias("thin")))
 
 
 @query("backfill_layers", """

@@ -2,8 +2,8 @@
 
 ``percentile`` keeps every distinct value of a group in one task.  That is right for groups
 bounded by the clock (one row per interval of a day) and wrong for whole tables, so large
-groups go through counted values, value slices and a search limited to the slices that hold
-the wanted ranks.
+groups are counted by value, put in order by a range partition, and ranked in place: totals of
+the partitions say in which of them a wanted rank lies, and only those are ordered inside.
 """
 
 from __future__ import annotations
@@ -13,19 +13,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 64
+from tidemark.session import materialised
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = (),
-                    count: str | None = None, slices: int = SLICES) -> DataFrame:
+                    count: str | None = None, partitions: int | None = None) -> DataFrame:
     """Linear-interpolation quantiles per group: ``keys``, ``n`` and ``q`` (array as ``probs``).
 
     ``count`` names a column saying how many rows each row stands for.
 
     1. count every distinct value per group (combines on the map side);
-    2. cut each group's values into slices at approximate quantiles - they only balance work,
-       the result does not depend on them;
-    3. total the slices, find those holding a wanted rank, and order values in those only.
+    2. put the counted values in order of group and value by a range partition, once, stored so that its
+       parts stay as they are: as many parts as the data fill, whatever the size of a group;
+    3. total the parts, offset them, find those holding a wanted rank, and order values in those only.
     """
     keys = list(keys)
     group = keys or ["_all"]
@@ -34,26 +34,22 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Seq
     weight = F.col(count) if count else F.lit(1)
     counts = (base.select(*group, F.col(value).cast("double").alias("_x"), weight.alias("_w"))
               .where(x.isNotNull() & ~F.isnan(x)).groupBy(*group, "_x").agg(F.sum("_w").alias("_n")))
-    # Every branch below reads both columns of `counts`, so its shuffle is done once and reused.
-    edges = [F.percentile_approx("_x", [i / slices for i in range(1, slices)], 10 * slices).alias("_cuts"),
-             F.sum("_n").alias("_size")]
-    if keys:
-        cut = _join(counts, counts.groupBy(*group).agg(*edges), group)
-    else:
-        cut = counts.withColumn("_c", counts.agg(*edges).select(F.struct("*")).scalar()).select(*counts.columns, "_c.*")
-    sliced = cut.withColumn("_slice", F.size(F.filter("_cuts", lambda e: e < x))).drop("_cuts")
-
-    # From here to `hits` there are at most `slices` rows, then `2 * len(probs)`, per group.
-    totals = sliced.groupBy(*group, "_size", "_slice").agg(F.sum("_n").alias("_total"))
+    place = [*group, "_x"]
+    ordered = counts.repartitionByRange(partitions, *place) if partitions else counts.repartitionByRange(*place)
+    sliced = materialised(ordered).withColumn("_slice", F.spark_partition_id())
+
+    # From here to `hits` there is a row for each group and part, then `2 * len(probs)` per group.
+    totals = sliced.groupBy(*group, "_slice").agg(F.sum("_n").alias("_total"))
     order = Window.partitionBy(*group).orderBy("_slice")
-    running = totals.withColumn("_before", F.sum("_total").over(order) - F.col("_total"))
+    running = totals.withColumns({"_before": F.sum("_total").over(order) - F.col("_total"),
+                                  "_size": F.sum("_total").over(Window.partitionBy(*group))})
     spans = running.groupBy(*group, "_size").agg(
         F.collect_list(F.struct("_slice", "_before", "_total")).alias("_spans"))
-    wanted = spans.select(*group, "_spans", F.explode(_places(probs, F.col("_size"))).alias("_p"))
+    wanted = spans.select(*group, "_size", "_spans", F.explode(_places(probs, F.col("_size"))).alias("_p"))
     span = F.element_at(F.filter("_spans", lambda s: (s["_before"] <= F.col("_p.place"))
                                  & (F.col("_p.place") < s["_before"] + s["_total"])), 1)
-    hits = (wanted.select(*group, "_p", span.alias("_span"))
-            .groupBy(*group, F.col("_span._slice").alias("_slice"), F.col("_span._before").alias("_before"))
+    hits = (wanted.select(*group, "_size", "_p", span.alias("_span"))
+            .groupBy(*group, "_size", F.col("_span._slice").alias("_slice"), F.col("_span._before").alias("_before"))
             .agg(F.collect_list("_p").alias("_places")))
 
     inside = _join(sliced, hits, [*group, "_slice"])
