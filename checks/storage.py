@@ -11,7 +11,7 @@ from checks.base import PARAMS, query, rnd, rounded
 from checks.points import FEATURE_DOUBLES, FEATURE_INTS, FEATURES_SQL, features
 from tidemark.dictionary import ROWS
 from tidemark.functions import timeaxis
-from tidemark.operators import batchlog, catalog, merge, quality, serving
+from tidemark.operators import asof, batchlog, catalog, clean, layout, merge, quality, serving
 from tidemark.plans import features as plan
 from tidemark.plans import backfill, warehouse
 from tidemark.session import shared_folder
@@ -353,3 +353,43 @@ def _(spark, sf):
     fresh = rows.withColumn("value", F.col("value") + 1)
     once = merge.replace_slice(rows, "event_type", "view", fresh)
     return merge.replace_slice(once, "event_type", "view", fresh)
+
+
+# ------------------------------------------------------------------ layout for joins
+
+BUCKETS = 16
+
+
+def stored_in_buckets(spark, sf) -> dict[str, DataFrame]:
+    """Forecast prices, forecast states and actual prices in like buckets, opened again by folder and layout."""
+    root = shared_folder(spark, "buckets")
+    run = root.rsplit("-", 1)[1]
+    actual = base.price_final(spark, sf).select("regionid", F.col("settlementdate").alias("datetime"), F.col("rrp").alias("actual_rrp"))
+    frames = {"fc_price": base.a_fc_price(spark, sf), "fc_state": base.a_fc_state(spark, sf), "actual": actual}
+    out = {}
+    for name, df in frames.items():
+        layout.write_bucketed(df, f"{name}_{run}", f"{root}/{name}", BUCKETS)
+        out[name] = layout.open_bucketed(spark, f"{name}_again_{run}", f"{root}/{name}", df.schema, BUCKETS)
+    return out
+
+
+@query("stored_forecast_join", """
+    SELECT f.regionid, f.datetime, f.vintage, f.source, f.rrp, f.totaldemand, f.margin, p.rrp AS actual_rrp
+    FROM forecast f JOIN price_final p ON f.regionid = p.regionid AND f.datetime = p.settlementdate""")
+def _(spark, sf):
+    """Three stored tables joined bucket by bucket."""
+    t = stored_in_buckets(layout.allow_partial_keys(spark), sf)
+    joined = clean.forecast(t["fc_price"], t["fc_state"]).join(t["actual"], list(layout.INTERVAL))
+    return joined.select("regionid", "datetime", "vintage", "source", "rrp", "totaldemand", "margin", "actual_rrp")
+
+
+@query("stored_asof", """
+    SELECT 'ev' AS cutoff, regionid, datetime, vintage, rrp FROM asof_2000
+    UNION ALL SELECT 'fc', regionid, datetime, vintage, rrp FROM asof_1300""")
+def _(spark, sf):
+    """The as-of selection over stored forecasts: scan, join and aggregate without an exchange."""
+    t = stored_in_buckets(layout.allow_partial_keys(spark), sf)
+    picked = asof.forecast_asof(clean.forecast(t["fc_price"], t["fc_state"]), {"ev": 20, "fc": 13}, ["vintage", "rrp"])
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("cutoff"), F.col(n).alias("row")) for n in ("ev", "fc")]))
+    return (picked.select("regionid", "datetime", pairs.alias("p")).where(F.col("p.row").isNotNull())
+            .select("p.cutoff", "regionid", "datetime", "p.row.vintage", "p.row.rrp"))

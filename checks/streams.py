@@ -149,6 +149,29 @@ def _(spark, sf):
     return jobs.thin(counts, "2024-02-02", 10, 400)
 
 
+@query("stream_observed", """
+    SELECT count(*) AS n_rows, count(*) FILTER (WHERE rrp < 0) AS n_negative, count(*) FILTER (WHERE rrp > 300) AS n_over_300,
+      max(settlementdate) AS newest, 3::BIGINT AS batches FROM a_price""")
+def _(spark, sf):
+    """Coverage and price counts of every micro-batch, observed on the rows a merge stores."""
+    root = shared_folder(spark, "observed")
+    rows = base.a_price(spark, sf).select("event_id", *KEY, "rrp", "known_at", "source_file")
+    t = F.col("settlementdate")
+    a, b = (F.lit(d).cast("timestamp_ntz") for d in ("2024-01-11", "2024-01-21"))
+    with jobs.observing(spark) as seen:
+        for part in (t < a, (t >= a) & (t < b), t >= b):
+            rows.where(part).write.mode("append").parquet(f"{root}/landing")
+            stream = jobs.landed(spark, f"{root}/landing", rows.schema).observe(
+                "prices", F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("rrp") < 0).alias("n_negative"),
+                F.count_if(F.col("rrp") > 300).alias("n_over_300"), F.max("settlementdate").alias("newest"))
+            jobs.finish(jobs.stream_merge(stream, f"{root}/table", PRICE, f"{root}/cp", [F.col("event_id")]))
+    told = [m for m in seen.of("prices") if m["n_rows"]]
+    day = spark.createDataFrame([tuple(m[c] for c in ("n_rows", "n_negative", "n_over_300", "newest")) for m in told],
+                                "n_rows bigint, n_negative bigint, n_over_300 bigint, newest timestamp_ntz")
+    return day.agg(*[F.sum(c).alias(c) for c in ("n_rows", "n_negative", "n_over_300")], F.max("newest").alias("newest"),
+                   F.count("*").alias("batches"))
+
+
 # ------------------------------------------------------------------ rows far behind any watermark
 
 def corrected(spark: SparkSession, rows: DataFrame, late, root: str, keys: dict, day, result, compacted: bool = False) -> DataFrame:

@@ -82,3 +82,30 @@ def test_year_bound_follows_a_merge_window(spark):
     window = tuple(F.lit(d).cast("timestamp_ntz") for d in ("2024-01-05", "2024-01-07"))
     text = plan_of(merge.missing(stored, base.a_price(spark, SF), list(spec.key), spec.time_col, window))
     assert re.search(r"PartitionFilters: \[.*year", text) and "LeftAnti" in text
+
+
+@pytest.mark.parametrize("name", ["stored_forecast_join", "stored_asof"])
+def test_stored_layout_needs_no_exchange(spark, name):
+    """Joins of three stored tables, and the as-of selection, read buckets and shuffle nothing."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_of(QUERIES[name](spark, SF))
+        assert "Exchange" not in text and "Bucketed: true" in text and "Join" in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_merge_plans_its_keys_once(spark):
+    spec = SPECS["dispatchprice"]
+    path = shared_folder(spark, "plan")
+    merge.write_partitioned(base.a_price(spark, SF).where("event_id % 2 = 0"), spec, path)
+    batch = base.a_price(spark, SF)
+    text = plan_of(merge.plan_once(spark, path, batch, spec, [F.col("event_id")]))
+    assert text.count("Join") == 1 and "partial_min_by" in text
+    done = merge.merge_into(spark, path, batch, spec, [F.col("event_id")])
+    keys = batch.select(*spec.key).distinct().count()
+    assert done.pulled == batch.count() == done.appended + done.duplicates + done.already_held
+    assert spark.read.parquet(path).select(*spec.key).distinct().count() == keys
+    again = merge.merge_into(spark, path, batch, spec, [F.col("event_id")])
+    assert (again.appended, again.duplicates, again.already_held) == (0, 0, again.pulled)

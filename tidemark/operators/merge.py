@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import timeaxis
@@ -177,25 +178,70 @@ def plan_merge(spark: SparkSession, path: str, incoming: DataFrame, spec: TableS
             merge_counts(stored, incoming, key, spec.time_col, bounds))
 
 
+def plan_once(spark: SparkSession, path: str, incoming: DataFrame, spec: TableSpec, order: Sequence[Column],
+              window: Window | None = None, keep_revisions: bool = False) -> DataFrame:
+    """Every key of the batch once: its first row, how many rows it has (``_n``) and whether it is stored (``_held``).
+
+    What is appended and all counts of a merge come from this one join.
+    """
+    bounds = window or time_bounds(incoming, spec.time_col)
+    stored = tables.scan_or_empty(spark, path, spec.stored_schema)
+    key = [*spec.key, "ingested_at"] if keep_revisions else list(spec.key)
+    rest = [c for c in incoming.columns if c not in key]
+    first = F.min_by(F.struct(*rest), F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])) if rest else F.first(F.struct())
+    per_key = incoming.groupBy(*key).agg(first.alias("_row"), F.count(F.lit(1)).alias("_n"))
+    known = _keys(within(stored, spec.time_col, bounds), key).withColumn("_is", F.lit(True))
+    joined = per_key.join(known, _match(per_key, known, key, True), "left")
+    columns = [per_key[c] if c in key else F.col("_row").getField(c).alias(c) for c in incoming.columns]
+    return joined.select(*columns, "_n", F.coalesce("_is", F.lit(False)).alias("_held"))
+
+
+def _counts() -> list[Column]:
+    """Counts of `Merged` over `plan_once`."""
+    n, zero = F.col("_n"), F.lit(0).cast("bigint")
+    return [F.coalesce(F.sum(n), zero).alias("pulled"), F.count_if(~F.col("_held")).alias("appended"),
+            F.coalesce(F.sum(F.when(~F.col("_held"), n - 1)), zero).alias("duplicates"),
+            F.coalesce(F.sum(F.when(F.col("_held"), n)), zero).alias("already_held")]
+
+
+def _observed(seen: Observation) -> Merged | None:
+    """What was observed; None if nothing was left to write, because an empty write is planned away with its metrics."""
+    try:
+        return Merged(*[seen.get[c] for c in Merged._fields])
+    except (Py4JJavaError, KeyError):
+        return None
+
+
 def merge_into(spark: SparkSession, path: str, incoming: DataFrame, spec: TableSpec, order: Sequence[Column],
                window: Window | None = None, dry_run: bool = False, keep_revisions: bool = False,
                before: Callable[[Merged], None] | None = None) -> Merged:
     """Merge rows into a stored table by key and return the counts.
 
-    Rows without a time are left out.  ``before`` sees the counts ahead of the append.  The append
-    reads the table's files as they were when the merge was planned and only adds files, so
-    running the same batch again adds nothing.  One writer per table.
+    Rows without a time are left out.  The batch meets the stored keys in one join.  Its counts are
+    observed on the rows as they are written; ``before``, which must see them ahead of the append, has
+    the joined rows kept for it.  The append reads the table's files as they were when the merge was
+    planned and only adds files, so running the same batch again adds nothing.  One writer per table.
     """
-    incoming = incoming.where(F.col(spec.time_col).isNotNull()).persist()
+    incoming = incoming.where(F.col(spec.time_col).isNotNull())
+    ahead = before is not None or dry_run
+    if window is None:
+        incoming = incoming.persist()  # read for its bounds, then for the join
+    planned = plan_once(spark, path, incoming, spec, order, window, keep_revisions)
+    columns = [c for c in spec.schema.names if c in incoming.columns]
     try:
-        new, counts = plan_merge(spark, path, incoming, spec, order, window, keep_revisions)
-        c = counts.first()
-        merged = Merged(c.pulled, c.keys_added, c.inserted - c.keys_added, c.already_held)
-        if before:
-            before(merged)
-        if merged.appended and not dry_run:
-            columns = [c for c in spec.schema.names if c in new.columns]
-            write_partitioned(new.select(*columns), spec, path)
-        return merged
+        if ahead:
+            planned = planned.persist()
+            merged = Merged(*planned.agg(*_counts()).first())
+            if before:
+                before(merged)
+            if merged.appended and not dry_run:
+                write_partitioned(planned.where(~F.col("_held")).select(*columns), spec, path)
+            return merged
+        seen = Observation()
+        write_partitioned(planned.observe(seen, *_counts()).where(~F.col("_held")).select(*columns), spec, path)
+        return _observed(seen) or Merged(*planned.agg(*_counts()).first())
     finally:
-        incoming.unpersist()
+        if ahead:
+            planned.unpersist()
+        if window is None:
+            incoming.unpersist()

@@ -11,12 +11,14 @@ batch overwrites its own folder, and readers take the newest version of each key
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tidemark import fixed_values as fv
 from tidemark.functions import timeaxis
@@ -55,6 +57,47 @@ def finish(q: StreamingQuery) -> None:
     q.awaitTermination()
 
 
+class Observed(StreamingQueryListener):
+    """Metrics that streams observe on their own rows, batch by batch: no query reads the rows a second time.
+
+    Register with ``spark.streams.addListener``; a stream names its metrics with ``stream.observe(name, ...)``.
+    """
+
+    def __init__(self) -> None:
+        self.batches: list[tuple[str, int, dict]] = []
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        progress = event.progress
+        for name, row in progress.observedMetrics.items():
+            self.batches.append((name, progress.batchId, row.asDict()))
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+    def of(self, name: str) -> list[dict]:
+        """Metrics of one name, oldest batch first; a batch that was tried again counts once."""
+        last = {batch: row for own, batch, row in self.batches if own == name}
+        return [last[b] for b in sorted(last)]
+
+
+@contextmanager
+def observing(spark: SparkSession) -> Iterator[Observed]:
+    """A listener for the streams that run inside; everything they observed has arrived at the end."""
+    listener = Observed()
+    spark.streams.addListener(listener)
+    try:
+        yield listener
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(listener)
+
+
 # ------------------------------------------------------------------ merges
 
 def stream_merge(stream: DataFrame, target: str, spec: TableSpec, checkpoint: str, order: Sequence[Column],
