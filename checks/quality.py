@@ -8,7 +8,8 @@ from checks import base
 from checks.base import query, rnd
 from checks.points import features, outcome
 from tidemark import fixed_values as fv
-from tidemark.operators import clean, daily, evaluate, explore, quality
+from tidemark.operators import clean, daily, evaluate, explore, quality, sketches
+from tidemark.operators.quantiles import exact_quantiles
 from tidemark.plans import warehouse
 from tidemark.plans.quality_report import quality_report
 from tidemark.session import shared_folder
@@ -340,3 +341,31 @@ def _(spark, sf):
 def _(spark, sf):
     """A thousand of all rows (or all, where there are fewer)."""
     return explore.sample_rows(priced(spark, sf).select("event_id", "regionid", "rrp"), 1000, ["event_id"])
+
+
+SKETCHED = ["rrp", "event_id", "user_id", "price_status", "settlementdate"]
+
+
+@query("profile_incremental", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, true AS distinct_close, "
+    + ("true" if c != "price_status" else "NULL::BOOLEAN") + " AS median_close, 1::BIGINT AS days_read FROM a_price" for c in SKETCHED))
+def _(spark, sf):
+    """Sketches of all days but the last are stored, the last day alone is read and added, and the sum is compared with exact figures."""
+    root = shared_folder(spark, "sketches")
+    rows = base.a_price(spark, sf).select(*SKETCHED, F.to_date("ts").alias("day"))
+    last = rows.agg(F.max("day")).first()[0]
+    sketches.sketch(rows.where(F.col("day") < F.lit(last)), ["day"]).write.parquet(f"{root}/kept")
+    fresh = sketches.sketch(rows.where(F.col("day") == F.lit(last)), ["day"])
+    fresh.write.mode("append").parquet(f"{root}/kept")
+    days = fresh.select("day").distinct().count()
+    found = sketches.estimated(sketches.merged(spark.read.parquet(f"{root}/kept")), [0.5])
+    exact = quality.profile_columns(rows.select(*SKETCHED)).select(F.col("column_name").alias("of"), F.col("n_distinct").alias("true_distinct"))
+    # The estimated median must lie between the exact quantiles 0.47 and 0.53.
+    long = rows.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), sketches._value(c, dict(rows.dtypes)[c]).alias("x"))
+                                           for c in SKETCHED])).alias("e")).select("e.*")
+    near = exact_quantiles(long, "x", [0.47, 0.53], ["name"]).select("name", "q")
+    both = found.join(exact, F.col("column_name") == F.col("of")).join(near, F.col("column_name") == F.col("name"), "left")
+    return both.select("column_name", "n_rows", "n_null",
+                       (F.abs(F.col("n_distinct") - F.col("true_distinct")) <= 0.08 * F.col("true_distinct")).alias("distinct_close"),
+                       F.col("quantiles")[0].between(F.col("q")[0], F.col("q")[1]).alias("median_close"),
+                       F.lit(days).cast("bigint").alias("days_read"))

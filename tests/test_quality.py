@@ -173,3 +173,25 @@ def test_estimated_profile(spark):
 def test_empty_table_still_lists_its_columns(spark):
     got = quality.profile_columns(spark.createDataFrame([], "a int, b string")).collect()
     assert {tuple(r) for r in got} == {("a", 0, 0, 0, "int"), ("b", 0, 0, 0, "string")}
+
+
+def test_sketches_of_parts_merge_into_the_profile_of_the_whole(spark):
+    """Nulls, NaN, text and a group of nulls only; merging in any grouping gives one result."""
+    from tidemark.operators import sketches
+    df = spark.range(9000).select(
+        (F.col("id") % 7).alias("part"), F.when(F.col("id") % 5 > 0, F.col("id").cast("double")).alias("x"),
+        F.when(F.col("id") % 7 == 3, F.lit(None).cast("string")).otherwise(F.concat(F.lit("w"), F.col("id") % 100)).alias("word"),
+        F.when(F.col("id") % 2 == 0, F.lit(float("nan"))).otherwise(1.0).alias("odd"))
+    parts = sketches.sketch(df, ["part"])
+    assert parts.count() == 21
+    once = {r.column_name: r for r in sketches.estimated(sketches.merged(parts), [0.1, 0.9]).collect()}
+    twice = sketches.merged(sketches.merged(parts.withColumn("half", F.col("part") % 2), ["half"]))
+    again = {r.column_name: r for r in sketches.estimated(twice, [0.1, 0.9]).collect()}
+    assert {c: (r.n_rows, r.n_null, r.low, r.high, r.n_distinct) for c, r in once.items()} == {
+        c: (r.n_rows, r.n_null, r.low, r.high, r.n_distinct) for c, r in again.items()}
+    x, word = once["x"], once["word"]
+    assert (x.n_rows, x.n_null, x.low, x.high) == (9000, 1800, 1.0, 8999.0) and abs(x.n_distinct - 7200) < 500
+    assert abs(x.quantiles[0] - 900) < 270 and abs(x.quantiles[1] - 8100) < 270
+    assert word.quantiles is None and word.low is None and abs(word.n_distinct - 100) <= 3
+    assert once["odd"].low == 1.0 and once["odd"].n_null == 0
+    assert sketches.estimated(sketches.merged(sketches.sketch(df.limit(0), ["part"]))).count() == 0
