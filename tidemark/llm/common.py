@@ -70,8 +70,13 @@ def words_of(text: Column) -> Column:
 
 # ------------------------------------------------------------------ Arrow text
 
+
 def buffer_of(column) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of a text column and the offset of every row (one more than rows)."""
+    """The UTF-8 bytes of a text column and the offset of every row (one more than rows).
+
+    Workers live on between stages, so freed buffers go back to the system and not to Arrow's own pool.
+    """
+    pa.set_memory_pool(pa.system_memory_pool())
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column.cast(pa.large_string()), "")
