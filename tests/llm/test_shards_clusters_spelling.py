@@ -283,3 +283,38 @@ def test_pivots_do_not_overlap_and_are_the_cheapest():
         assert spots[1] - spots[0] >= 2
         cheapest = min(a[0] + b[0] for a in grams[:3] for b in grams[:3] if b[2] - a[2] >= 2)
         assert sum(often[x] for x in pg[pw == k]) == cheapest
+
+
+def test_entries_of_a_word_do_not_grow_with_its_length(spark):
+    """A bigram that recurs a thousand times gives a bounded number of entries, each of which carries the word."""
+    long = ["a" * 3000, "a" * 3001, "ab" * 1500, "ab" * 1500 + "a", "ab" * 700 + "b" + "ab" * 800]
+    docs = [(1, " ".join(long)), (2, " ".join(long)), (3, " ".join(long[:1] * 30 + long[2:3] * 30))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    words = spelling.vocabulary(df).select(F.encode("word", "ISO-8859-1").alias("word"), "n")
+    assert spelling.entries(words, spelling.frequencies(words)).count() <= 20 * 5
+    assert rows_of(spelling.variants(df, slip=31)) == plain_variants(docs)
+
+
+def test_longest_words_are_near_each_other(spark):
+    """Words of eight million letters, beyond what a place and a length once were given."""
+    long = "q" + "abcdefgh" * (1 << 20)
+    other = long[:5_000_000] + long[5_000_001:]
+    df = spark.createDataFrame([(1,)], "doc_id long").select(
+        "doc_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("k")).select(
+        "doc_id", F.concat(F.lit("q"), F.repeat(F.lit("abcdefgh"), 1 << 20)).alias("a"), F.lit(" ").alias("s"))
+    df = df.select("doc_id", F.concat("a", "s", F.substring("a", 1, 5_000_000), F.expr("substring(a, 5000002)")).alias("text"))
+    got = spelling.variants(df, slip=1 << 40).select(F.md5("word").alias("word"), F.length("word").alias("size"), "n", "n_near", "form").collect()
+    md5 = lambda w: hashlib.md5(w.encode()).hexdigest()
+    assert {tuple(r) for r in got} == {(md5(w), len(w), 2, 1, None) for w in (long, other)}
+
+
+def test_many_variants_of_a_long_word(spark):
+    """Blocks are dealt by their letters, too, and pairs are verified a bounded number of letters at a time."""
+    chance = random.Random(4)
+    base = "".join(chance.choice("abcdefghijklm") for _ in range(2000))
+    docs = [(0, " ".join([base] * 30))]
+    for k in range(120):
+        at = chance.randrange(len(base))
+        docs.append((k, " ".join([base[:at] + chance.choice(["", "z", "zz"]) + base[at + 1:]] * 2)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    assert rows_of(spelling.variants(df, large=500)) == plain_variants(docs)
