@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, nearcopies, secretscan, toxicity
+from tidemark.llm import decontaminate, mixing, nearcopies, secretscan, simhash, toxicity
 from tidemark.llm.common import cut, fold, stored
 
 #: Documents at or above this score are rejected.
@@ -36,8 +36,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies."""
-    return nearcopies.one_of_each(docs)
+    """One document of every group of near copies: of fingerprints in tiles first, then of shingle sets alike.
+
+    The second look is exact and finds copies whose fingerprints differ by more than the radius.
+    """
+    return nearcopies.one_of_each(simhash.one_of_each(docs))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -425,6 +425,22 @@ def test_near_copies_with_a_repeated_passage(spark):
     assert {r.doc_id for r in nearcopies.one_of_each(docs).collect()} == set(range(0, 16, 2))
 
 
+def test_pipeline_drops_near_copies_by_fingerprint(spark):
+    """Texts within three bits but below the similarity of shingle sets: only the tiles of fingerprints find them."""
+    chance = random.Random(0)
+    texts = []
+    for k in range(12):
+        base = [f"w{chance.randrange(10 ** 6)}" for _ in range(30)] * 40
+        texts += [base, base + [f"v{k}x{j}" for j in range(30)]]        # a tail of its own: many new kinds, few repeats
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)] + [(99, None), (98, ""), (None, " ")], "doc_id long, text string")
+    fps = [simhash.fingerprint(" ".join(t).encode(), 3) for t in texts]
+    roots = smallest_reachable(range(len(texts)), lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 3)
+    assert len(set(roots.values())) < len(texts)
+    assert {r.doc_id for r in simhash.one_of_each(docs).collect()} == {*roots.values(), 98}
+    assert {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()} == {*roots.values(), 98}
+    assert nearcopies.one_of_each(docs).count() == len(texts) + 1
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     toxic = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").filter("toxic = 1").collect()}

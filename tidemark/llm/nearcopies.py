@@ -275,9 +275,11 @@ def links(sets: DataFrame, similarity: float, chunk: int = CHUNK, elements: int
 def one_of_each(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of the rows that stay."""
-    rows = cut(described(docs, width, similarity, id_col, text_col))
+    # The shown shingles are worked out again for the classes; kept beside every row they would be stored twice.
+    about = described(docs, width, similarity, id_col, text_col)
+    rows = cut(about.select("doc_id", "text_hash", "sig"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("text_hash").alias("text_hash"))
-    classes = cut(rows.groupBy("sig").agg(F.min(order).alias("first"), F.min(F.struct("size", "level", "below0", "below1", "keys")).alias("d")))
+    classes = cut(about.groupBy("sig").agg(F.min(order).alias("first"), F.min(F.struct("size", "level", "below0", "below1", "keys")).alias("d")))
     tiles = cut(blocks_of(classes, similarity))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_batches, buffer_of, components, cut
+from tidemark.llm.decontaminate import small
 
 SEED = 42
 TILE = 1024
@@ -257,3 +258,23 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, groups: in
     ids = grouped.groupBy("class").agg(F.min("first_id").alias("component_id")).withColumnRenamed("class", "of_class")
     named = grouped.join(ids, grouped["class"] == ids.of_class).select(F.col("fp").alias("of_fp"), "component_id")
     return fps.join(named, fps.fp == named.of_fp).select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, width: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns of ``docs`` without the rows whose component holds a row of smaller id (null last, then text hash).
+
+    Rows of one id and text go or stay together.
+    """
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    me = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"))
+    # Equal texts have equal fingerprints, so the text's hash is the name that a fingerprint is found by.
+    named = docs.select(F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    fps = cut(fingerprints(named, width, "text_hash", "text").withColumnRenamed("doc_id", "of_text").distinct())
+    roots = connect(links(fps.select("fp").distinct(), radius))
+    classes = fps.join(roots, fps.fp == roots.node, "left").select("of_text", F.coalesce("root", "fp").alias("class"))
+    rows = docs.select(me.alias("me")).distinct().join(classes, F.col("me.text_hash") == F.col("of_text")).select("me", "class")
+    stay = rows.groupBy(F.col("class").alias("of_class")).agg(F.min("me").alias("stays"))
+    gone = cut(rows.join(stay, F.col("class") == F.col("of_class")).filter("me <> stays").select(
+        F.col("me.id").alias("gone_id"), F.col("me.text_hash").alias("gone_text")))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("gone_id")) & (F.xxhash64(text) == F.col("gone_text"))
+    return docs.join(small(gone), same, "left_anti")
