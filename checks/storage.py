@@ -358,6 +358,8 @@ def _(spark, sf):
 # ------------------------------------------------------------------ layout for joins
 
 BUCKETS = 16
+#: Forecasts that a bucket is laid out for.
+PER_BUCKET = 250_000
 
 
 def stored_in_buckets(spark, sf) -> dict[str, DataFrame]:
@@ -365,11 +367,13 @@ def stored_in_buckets(spark, sf) -> dict[str, DataFrame]:
     root = shared_folder(spark, "buckets")
     run = root.rsplit("-", 1)[1]
     actual = base.price_final(spark, sf).select("regionid", F.col("settlementdate").alias("datetime"), F.col("rrp").alias("actual_rrp"))
+    # The layout is chosen at the load, from what is loaded: a bucket is one task of every later join.
+    buckets = layout.buckets_for(base.VINTAGES * base.events(spark, sf).count(), PER_BUCKET, BUCKETS)
     frames = {"fc_price": base.a_fc_price(spark, sf), "fc_state": base.a_fc_state(spark, sf), "actual": actual}
     out = {}
     for name, df in frames.items():
-        layout.write_bucketed(df, f"{name}_{run}", f"{root}/{name}", BUCKETS)
-        out[name] = layout.open_bucketed(spark, f"{name}_again_{run}", f"{root}/{name}", df.schema, BUCKETS)
+        layout.write_bucketed(df, f"{name}_{run}", f"{root}/{name}", buckets)
+        out[name] = layout.open_bucketed(spark, f"{name}_again_{run}", f"{root}/{name}", df.schema, buckets)
     return out
 
 

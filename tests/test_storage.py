@@ -5,7 +5,8 @@ import datetime as dt
 from conftest import same_rows, ts
 from pyspark.sql import functions as F
 
-from tidemark.operators import batchlog, merge, serving
+from checks import storage
+from tidemark.operators import batchlog, layout, merge, serving
 from tidemark.session import shared_folder
 from tidemark.sources import tables
 from tidemark.specs import SPECS
@@ -173,3 +174,12 @@ def test_sorted_load_clusters_keys(spark):
     for f in {r.f for r in per_file}:
         mine = [(r.regionid, r.settlementdate) for r in sorted(per_file, key=lambda r: r.i) if r.f == f]
         assert mine == sorted(mine)
+
+
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    """A bucket is one task of every join over the stored tables; it holds a bounded number of rows."""
+    monkeypatch.setattr(storage, "PER_BUCKET", 1000)
+    tables = storage.stored_in_buckets(spark, "/root/testdata/sf0.01")
+    n = -(-tables["fc_price"].count() // 1000)
+    assert n > storage.BUCKETS and len(tables["fc_price"].inputFiles()) == n
+    assert layout.buckets_for(5, 1000, 16) == 16

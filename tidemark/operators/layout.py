@@ -26,6 +26,11 @@ def allow_partial_keys(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def buckets_for(rows: int, per_bucket: int, least: int = 1) -> int:
+    """Buckets that hold about ``per_bucket`` rows each, so that no task of a later join grows with the table."""
+    return max(least, -(-rows // per_bucket))
+
+
 def write_bucketed(df: DataFrame, name: str, path: str, buckets: int, keys: Sequence[str] = INTERVAL,
                    mode: str = "overwrite") -> DataFrame:
     """``df`` stored in buckets below ``path`` as table ``name``; the only exchange it will need."""
