@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,12 +19,26 @@ from tidemark.specs import SPECS
 from tidemark.streaming import corrections, jobs
 
 
-def land(df: DataFrame, folder: str, time_col: str) -> None:
-    """Three landings, oldest rows first."""
+def once(df: DataFrame, folder: str) -> DataFrame:
+    """``df`` worked out once and stored, for what reads it several times."""
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def landings(df: DataFrame, folder: str, time_col: str) -> Iterator[None]:
+    """Three landings, oldest rows first, one at every step; the rows are worked out once."""
+    rows = once(df, f"{folder}-made")
     t = F.col(time_col)
     a, b = (F.lit(d).cast("timestamp_ntz") for d in ("2024-01-11", "2024-01-21"))
     for part in (t < a, (t >= a) & (t < b), t >= b):
-        df.where(part).write.mode("append").parquet(folder)
+        rows.where(part).write.mode("append").parquet(folder)
+        yield
+
+
+def land(df: DataFrame, folder: str, time_col: str) -> None:
+    """All three landings."""
+    for _ in landings(df, folder, time_col):
+        pass
 
 
 def landed(spark: SparkSession, df: DataFrame, root: str, time_col: str, files_per_batch: int | None = None) -> DataFrame:
@@ -86,13 +102,18 @@ def _(spark, sf):
     p = base.a_price(spark, sf).select("event_id", *KEY, "rrp")
     t = F.col("settlementdate")
     late = (t < F.lit("2024-01-06").cast("timestamp_ntz")) & (F.col("event_id") % 10 == 0)
-    # Two runs: what lands after the first has passed its watermark is late for the second.
-    land(p.where(~late), f"{root}/landing", "settlementdate")
-    for part in (None, p.where(late)):
-        if part is not None:
-            part.write.mode("append").parquet(f"{root}/landing")
-        stream = jobs.landed(spark, f"{root}/landing", p.schema, 1)
+
+    def run() -> None:
+        stream = jobs.landed(spark, f"{root}/landing", p.schema)
         jobs.finish(jobs.stream_dedup(stream, KEY, "settlementdate", f"{root}/table", f"{root}/cp"))
+
+    # A run for every landing, whose files are one batch: batches do not grow in number with the files, and the
+    # files of a landing, which lie in no order of time, are not late for each other.  What lands after the last
+    # of them has passed the watermark is late.
+    for _ in landings(p.where(~late), f"{root}/landing", "settlementdate"):
+        run()
+    p.where(late).write.mode("append").parquet(f"{root}/landing")
+    run()
     stored = spark.read.schema(p.schema).parquet(f"{root}/table")
     back = jobs.late_rows(p, stored, KEY, [F.col("event_id")])
     return (stored.select(F.lit("kept").alias("how"), *KEY)
@@ -176,10 +197,11 @@ def _(spark, sf):
 
 def corrected(spark: SparkSession, rows: DataFrame, late, root: str, keys: dict, day, result, compacted: bool = False) -> DataFrame:
     """The newest versions after the late rows landed weeks behind the newest of the others."""
+    rows = once(rows, f"{root}/made")
     land(rows.where(~late), f"{root}/landing", "ts")
     for part in (None, rows.where(late)):
-        if part is not None:
-            part.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+        if part is not None:  # one file only where files are counted into batches
+            (part.coalesce(1) if compacted else part).write.mode("append").parquet(f"{root}/landing")
         stream = jobs.landed(spark, f"{root}/landing", rows.schema, 2 if compacted else None)
         jobs.finish(corrections.corrected(stream, keys, day, result, f"{root}/out", f"{root}/cp", fan_in=2 if compacted else 10))
     schema = result(rows.limit(0)).schema

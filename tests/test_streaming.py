@@ -156,3 +156,29 @@ def test_archives_land_as_files_and_are_taken_once(spark):
         stream.close()
         jobs.finish(jobs.stream_ingest(jobs.landed_archives(spark, f"{root}/landing"), f"{root}/t", PRICE, f"{root}/cp"))
     assert sorted(r.rrp for r in spark.read.parquet(f"{root}/t").collect()) == [0.0, 1.0, 2.0]
+
+
+def test_landings_work_their_rows_out_once(spark):
+    """A landing reads stored rows; an expensive input is not computed again for each of the three."""
+    root, seen = shared_folder(spark, "once"), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    p = base.a_price(spark, SF).select("event_id", "settlementdate")
+    land(p.mapInArrow(count, p.schema), f"{root}/landing", "settlementdate")
+    assert seen.value == p.count() == spark.read.parquet(f"{root}/landing").count()
+
+
+def test_files_of_a_landing_are_one_batch(spark, monkeypatch):
+    """However many files a landing has, none is late for another, and the stream runs a bounded number of batches."""
+    from checks import streams
+    from checks.base import QUERIES
+    one = streams.once
+    monkeypatch.setattr(streams, "once", lambda df, folder: one(df, folder).repartition(9))
+    out = QUERIES["stream_late_dedup"](spark, SF).groupBy("how").count().collect()
+    late = base.a_price(spark, SF).groupBy(*KEY).agg(F.bool_and(
+        (F.col("settlementdate") < F.lit("2024-01-06").cast("timestamp_ntz")) & (F.col("event_id") % 10 == 0)).alias("late"))
+    assert dict(map(tuple, out)) == {("recovered" if r.late else "kept"): r["count"] for r in late.groupBy("late").count().collect()}
