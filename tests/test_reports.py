@@ -222,3 +222,17 @@ def test_files_of_a_window_are_opened_once(spark, tmp_path):
     second = run(lo, hi, "2")  # two of five are stored; the broken one is tried and reported
     assert second.opened == 3 and [k.rsplit("/", 1)[1] for k in second.broken] == ["PUBLIC_DISPATCHIS_202409010009_1.zip"]
     assert spark.read.parquet(f"{root}/price").count() == 2
+
+
+def test_lines_without_quotes_are_split_at_commas(spark):
+    """Their fields are those of the pattern, also where fields are empty; labels are told from the start of a line."""
+    lines = ["D,A,B,1,x", "D,A,B,,", ",a", "", "D", "D,A,B,1,\"x,y\"\"z\",2", "D,\"A\",\"B,C\",1,q,", "D,A,\"", "I, a ,b ,é,"]
+    got = [r[0] for r in spark.createDataFrame([(k, t) for k, t in enumerate(lines)], "k int, t string").coalesce(1).orderBy("k").select(
+        reports.fields(F.col("t"))).collect()]
+    want = [t.split(",") if '"' not in t and t[:1] != "," else None for t in lines]
+    assert [g for g, w in zip(got, want) if w is not None] == [w for w in want if w is not None]
+    assert got[5] == ["D", "A", "B", "1", 'x,y"z', "2"] and got[6] == ["D", "A", "B,C", "1", "q", ""]
+    heads, rows = reports._split_rows(spark.createDataFrame([("p", "m", "n", 0, k, t) for k, t in enumerate(lines)], reports.LINES))
+    assert sorted(r.label for r in rows.collect() if r.label) == ["A", "AB", "AB", "AB", "AB,C"]
+    plan = rows.where("label = 'AB'").select("label")._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" in plan

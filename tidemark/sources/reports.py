@@ -116,11 +116,16 @@ def read_archives(spark: SparkSession, folder: str | list[str]) -> DataFrame:
 
 
 def fields(text: Column) -> Column:
-    """Comma-separated fields of a line; quotes may hold commas and doubled quotes."""
+    """Comma-separated fields of a line; quotes may hold commas and doubled quotes.
+
+    Nearly all lines have no quote, and a split at commas gives theirs.
+    """
+    plain = ~text.contains('"') & ~text.startswith(",")
     raw = F.regexp_extract_all(text, F.lit(r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
-    return F.transform(raw, lambda f: F.when(
+    unquoted = F.transform(raw, lambda f: F.when(
         f.startswith('"'), F.replace(F.substring(f, 2, F.length(f) - 2), F.lit('""'), F.lit('"'))
     ).otherwise(f))
+    return F.when(plain, F.split(text, ",", -1)).otherwise(unquoted)
 
 
 FILE_KEYS = ["path", "member"]
@@ -130,11 +135,13 @@ TABLE_KEYS = [*FILE_KEYS, "label"]
 def _split_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Header rows with their column lists, and data rows with their values."""
     kind = F.substring("text", 1, 2)
-    parsed = lines.where(kind.isin("I,", "D,") & (F.col("line") != FAILED)).select(
+    # The label is told from the start of a line where that has no quote, so that filters on it split no line.
+    start = F.substring_index("text", ",", 3)
+    named = lambda f: F.upper(F.concat(F.trim(F.get(f, F.lit(1))), F.trim(F.get(f, F.lit(2)))))
+    label = F.when(~start.contains('"'), named(F.split(start, ",", -1))).otherwise(named(fields(F.col("text"))))
+    labelled = lines.where(kind.isin("I,", "D,") & (F.col("line") != FAILED)).select(
         *FILE_KEYS, "name", F.struct("chunk", "line").alias("at"), F.col("text").substr(1, 1).alias("kind"),
-        fields(F.col("text")).alias("f"))
-    labelled = parsed.withColumn("label", F.upper(F.concat(
-        F.trim(F.get("f", F.lit(1))), F.trim(F.get("f", F.lit(2))))))
+        label.alias("label"), fields(F.col("text")).alias("f"))
     rest = F.slice(F.col("f"), F.lit(5), F.greatest(F.size("f") - 4, F.lit(0)))
     heads = labelled.where(F.col("kind") == "I").select(
         *TABLE_KEYS, "at", F.transform(rest, lambda c: F.lower(F.trim(c))).alias("cols"))
