@@ -9,6 +9,7 @@ from checks.base import PARAMS, query, rnd, rounded
 from tidemark.functions import physical, provenance, timeaxis
 from tidemark.operators import asof, asofjoin, clean, daily
 from tidemark.plans import features as plan
+from tidemark.session import materialised
 
 OUTCOME = (["actual_max_rrp", "actual_mean_rrp", "actual_min_rrp"],
            ["regionid", "trading_day", "actual_n_over_300", "actual_n_negative", "spike", "n_intervals"])
@@ -413,11 +414,18 @@ def _(spark, sf):
 def _(spark, sf):
     """Cutoffs that come from a table: any number for an interval, without one pass or column for each."""
     fc = base.forecast(spark, sf)
-    hours = F.explode(F.array(*[F.lit(h) for h in (6, 13, 20, 23)])).alias("hours")
-    cutoffs = fc.select("regionid", "datetime", "trading_day").distinct().select("*", hours)
-    at = timeaxis.ntz(F.date_sub("trading_day", 1)) + F.make_dt_interval(hours=F.col("hours"))
-    cutoffs = cutoffs.select("regionid", "datetime", "hours", at.alias("cutoff"))
-    known = fc.select("regionid", "datetime", asof.knowledge().alias("known"), "vintage", "rrp",
+    steps = (6, 13, 20, 23)
+
+    def cutoff(h):
+        return timeaxis.ntz(F.date_sub("trading_day", 1)) + F.make_dt_interval(hours=h)
+
+    known = fc.select("regionid", "datetime", "trading_day", asof.knowledge().alias("known"), "vintage", "rrp",
                       (-provenance.source_rank(F.col("source"))).alias("trust"))
+    # The forecasts are joined once; what cutoffs can meet is small beside them and read twice.
+    known = materialised(asofjoin.newest_between(known, ["regionid", "datetime", "trading_day"], "known",
+                                                 [cutoff(F.lit(h)) for h in steps], ["vintage", "rrp"], ["vintage", "trust"]))
+    hours = F.explode(F.array(*[F.lit(h) for h in steps])).alias("hours")
+    cutoffs = known.select("regionid", "datetime", "trading_day").distinct().select("*", hours)
+    cutoffs = cutoffs.select("regionid", "datetime", "hours", cutoff(F.col("hours")).alias("cutoff"))
     return asofjoin.asof_join(cutoffs, known, ["regionid", "datetime"], "cutoff", "known", ["vintage", "rrp"],
                               ["vintage", "trust"]).drop("cutoff")

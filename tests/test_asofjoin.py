@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import ts
-from tidemark.operators.asofjoin import asof_join
+from tidemark.operators.asofjoin import asof_join, newest_between
 
 LEFT = "id int, key string, at timestamp_ntz, `odd.name` int"
 RIGHT = "key string, known timestamp_ntz, seq int, value double, word string"
@@ -69,3 +69,35 @@ def test_each_side_is_exchanged_once(spark):
         module.materialised = original
     plan = seen[0]
     assert plan.count("Exchange rangepartitioning") == 1 and plan.count("Exchange") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("seed, m, keys", [(7, 300, ["hot"]), (8, 120, ["a", "b", None]), (9, 0, ["a"])])
+def test_rows_between_cutoffs_may_be_left_out(spark, seed, m, keys):
+    """What is kept for the cutoffs gives the same join, with a row for every key and few rows for each."""
+    cuts = [dt.timedelta(minutes=k) for k in (50, 10, 30)]
+    begin = ts("2024-01-01T00:00:00")
+    _, rows = rows_of(seed, 0, m, keys)
+    right = spark.createDataFrame(rows, RIGHT)
+    at = [F.lit(str(begin + c)).cast("timestamp_ntz") for c in cuts]
+    kept = newest_between(right, ["key"], "known", at, ["value", "word"], ["seq"])
+    left = spark.createDataFrame([(i, k, begin + c, 0) for k in keys for i, c in enumerate(cuts)], LEFT)
+    whole, few = (asof_join(left, r, ["key"], "at", "known", ["value", "word"], ["seq"]) for r in (right, kept))
+    assert sorted(map(tuple, few.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+    per_key = dict(kept.groupBy("key").count().collect())
+    assert set(per_key) == {r[0] for r in rows} and all(n <= len(cuts) + 1 for n in per_key.values())
+
+
+def test_cutoffs_join_the_forecasts_once(spark):
+    """Both tables of forecasts are exchanged once, and neither is broadcast although the planner expects them small."""
+    import checks.points as points
+    from checks import QUERIES
+    seen, original = [], points.asofjoin.materialised
+    note = lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString()) or original(df)
+    points.asofjoin.materialised, before = note, getattr(points, "materialised", None)
+    points.materialised = note
+    try:
+        QUERIES["asof_join_cutoffs"](spark, "/root/testdata/sf0.001").count()
+    finally:
+        points.asofjoin.materialised, points.materialised = original, before
+    joins = "".join(seen)
+    assert joins.count("SortMergeJoin") == 1 and "Broadcast" not in joins

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,6 +90,23 @@ def _sweep(keys: int):
     return run
 
 
+def newest_between(right: DataFrame, keys: Sequence[str], time: str, cutoffs: Sequence[Column],
+                   values: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """The right rows that the ``cutoffs`` of their key can meet in `asof_join`, and a row for every key.
+
+    Of the rows after one cutoff and up to the next only the newest is ever found, so an aggregate that combines
+    on the map side keeps that one.  Rows after the last cutoff or without a time leave one row, whose time is
+    null.  ``cutoffs`` are expressions of ``keys``; ties on time go to the greatest ``order``, then to the
+    greatest of the other ``values``.  The result has no more rows than ``right``, and at most one more per
+    key than there are cutoffs.
+    """
+    columns = list(dict.fromkeys([time, *order, *values]))
+    upto = F.array_min(F.array(*[F.when(F.col(time) <= c, c) for c in cutoffs]))
+    newest = right.groupBy(*keys, upto.alias("_upto")).agg(F.max(F.struct(*columns)).alias("_newest"))
+    known = F.when(F.col("_upto").isNotNull(), F.col("_newest").getField(time))
+    return newest.select(*keys, known.alias(time), *[F.col("_newest").getField(c).alias(c) for c in columns[1:]])
+
+
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str,
               values: Sequence[str], order: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
     """Every left row with ``values`` of the right row of its key with the greatest time not after its own.

@@ -98,14 +98,15 @@ def forecast(price: DataFrame, state: DataFrame, day_offset_minutes: int = fv.DA
     """Forecast price joined to forecast state of the same run and interval.
 
     Both sides keep only the pricing run, so an intervened interval cannot fan out.  The key
-    has one row per run and interval, which spreads evenly over the shuffle.
+    has one row per run and interval, which spreads evenly over the shuffle.  Both sides have about as
+    many rows, so neither is ever broadcast, whatever size the planner expects of one.
     """
     keys = ["regionid", "datetime", "vintage", "source"]
     left = pricing_run(price).select(*keys, "known_at", "run_datetime", "rrp")
     right = pricing_run(state).select(
         *keys, "totaldemand", "availablegeneration", "availableload", "uigf",
         F.col("ss_wind_uigf").alias("wind"), F.col("ss_solar_uigf").alias("solar"))
-    return left.join(right, keys).withColumns({
+    return left.join(right.hint("merge"), keys).withColumns({
         "trading_day": timeaxis.trading_day(F.col("datetime"), day_offset_minutes),
         "margin": physical.margin(F.col("availablegeneration"), F.col("totaldemand")),
     })
