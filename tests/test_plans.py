@@ -109,3 +109,11 @@ def test_a_merge_plans_its_keys_once(spark):
     assert spark.read.parquet(path).select(*spec.key).distinct().count() == keys
     again = merge.merge_into(spark, path, batch, spec, [F.col("event_id")])
     assert (again.appended, again.duplicates, again.already_held) == (0, 0, again.pulled)
+
+
+def test_as_of_rows_stay_in_the_order_of_their_join(spark):
+    """The join of the forecasts leaves regions and intervals in order; the selection adds no sort before it combines."""
+    text = plan_of(asof.snapshots(base.forecast(spark, SF), {"fc": 13, "ev": 20}, 1))
+    below = text[text.index("partial_max_by"):]
+    assert "Broadcast" not in text and below.index("SortMergeJoin") < below.index("Sort [")
+    assert "make_dt_interval" not in text

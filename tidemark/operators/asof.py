@@ -33,19 +33,20 @@ def known_by(df: DataFrame, hours: float) -> DataFrame:
 
 
 def asof_latest(df: DataFrame, keys: Sequence[str], known: Column, cutoffs: Mapping[str, Column],
-                order: Sequence[Column], values: Sequence[str]) -> DataFrame:
+                order: Sequence[Column], values: Sequence[str], carried: Sequence[str] = ()) -> DataFrame:
     """Newest row per key for several cutoffs in one pass.
 
     Each cutoff yields a struct column named after it (null when nothing was known).  The
     aggregate combines on the map side, so neither the number of runs per key nor a hot key
-    decides how much is shuffled, and the input is scanned once for all cutoffs.
+    decides how much is shuffled, and the input is scanned once for all cutoffs.  ``carried``
+    columns follow from the keys and stand behind them; they are neither sorted nor hashed by.
     """
     row = F.struct(*values)
     rank = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
     picks = [F.max_by(F.when(known <= cut, row), F.when(known <= cut, rank)).alias(name)
              for name, cut in cutoffs.items()]
     any_known = reduce(lambda a, b: a | b, [known <= cut for cut in cutoffs.values()])
-    return df.where(any_known).groupBy(*keys).agg(*picks)
+    return df.where(any_known).groupBy(*keys).agg(*[F.max(c).alias(c) for c in carried], *picks)
 
 
 def asof_latest_window(df: DataFrame, keys: Sequence[str], known: Column, cutoff: Column,
@@ -58,9 +59,14 @@ def asof_latest_window(df: DataFrame, keys: Sequence[str], known: Column, cutoff
 
 def forecast_asof(forecast: DataFrame, cutoff_hours: Mapping[str, float],
                   values: Sequence[str]) -> DataFrame:
-    """`asof_latest` over joined forecasts; cutoffs are hours of the previous calendar day."""
+    """`asof_latest` over joined forecasts; cutoffs are hours of the previous calendar day.
+
+    The trading day follows from the interval, so rows are grouped by region and interval alone: in that order
+    the join of the forecasts leaves them, and they are not sorted again.
+    """
     cutoffs = {name: timeaxis.cutoff_before(F.col("trading_day"), h) for name, h in cutoff_hours.items()}
-    return asof_latest(forecast, FORECAST_KEYS, knowledge(), cutoffs, recency(forecast), values)
+    *keys, day = FORECAST_KEYS
+    return asof_latest(forecast, keys, knowledge(), cutoffs, recency(forecast), values, [day])
 
 
 def unpack(selected: DataFrame, name: str, keys: Sequence[str] = FORECAST_KEYS) -> DataFrame:
