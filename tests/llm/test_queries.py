@@ -8,13 +8,14 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from checks.compare import compare, connect
-from tidemark.llm import chat, mixing, nearcopies, quality, secretscan, simhash, suffix_array, suffix_tree, windows
+from tidemark.llm import chat, common, mixing, nearcopies, quality, secretscan, simhash, suffix_array, suffix_tree, windows
 from tidemark.llm.queries import ORACLE, QUERIES
 from llm_tables import awkward, awkward_rows, empty, words  # noqa: F401
 
@@ -459,6 +460,23 @@ def test_pipeline_stages(spark):
     assert last.count() == docs.count()
 
 
+def test_mixing_starts_no_python_worker(spark):
+    """The plan of the mix is a local table; Spark reads a list of rows through Python workers of their own."""
+    plan = mixing.mix_rows(spark.read.parquet(f"{SMALL}/documents.parquet"))._jdf.queryExecution().toString()
+    assert "LocalRelation" in plan
+    assert not re.search("LogicalRDD.*for_pattern|ExistingRDD.*for_pattern", plan)
+
+
+def test_workers_hold_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]})
+
+    docs = spark.range(3000).coalesce(1).select(F.repeat(F.lit("word "), 400).alias("text"))
+    held = [r.bytes for r in common.bounded_batches(docs).mapInArrow(common.lean(sizes), "bytes long").collect()]
+    assert sum(held) >= 3000 * 2000 and max(held) < 1.1 * (1 << 20)
+
+
 def test_nothing_else_imports_the_subpackage():
     import pathlib
     root = pathlib.Path(corpus_pipeline.__file__).parent

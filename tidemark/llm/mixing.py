@@ -19,9 +19,9 @@ from __future__ import annotations
 import json
 from collections import deque
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidemark.llm.common import WORD, cut
@@ -140,18 +140,16 @@ def mix(docs: DataFrame, sources: Column, size: Column, order: Column, keep: lis
     for r, m, f in zip(patterns, members, flow):
         at, stretches = 0, []
         for s in sorted(f, key=lambda s: (s is None, s or "")):
-            stretches.append((s, at, at + f[s]))
+            stretches.append({"source": s, "start": at, "stop": at + f[s]})
             at += f[s]
-        table.append((r.pattern, r.words, at, max(1, -(-r.n // rows_per_bucket)), stretches,
-                      [(s, sizes[s], float(target[s])) for s in m]))
-    stretch = T.ArrayType(T.StructType([T.StructField("source", T.StringType()), T.StructField("start", T.LongType()),
-                                        T.StructField("stop", T.LongType())]))
-    goal = T.ArrayType(T.StructType([T.StructField("source", T.StringType()), T.StructField("words", T.LongType()),
-                                     T.StructField("target", T.DoubleType())]))
-    schema = T.StructType([T.StructField("for_pattern", T.StringType()), T.StructField("capacity", T.LongType()),
-                           T.StructField("flow", T.LongType()), T.StructField("buckets", T.LongType()),
-                           T.StructField("stretches", stretch), T.StructField("goals", goal)])
-    plan = F.broadcast(docs.sparkSession.createDataFrame(table, schema))  # at most max_patterns rows
+        table.append({"for_pattern": r.pattern, "capacity": r.words, "flow": at, "buckets": max(1, -(-r.n // rows_per_bucket)),
+                      "stretches": stretches, "goals": [{"source": s, "words": sizes[s], "target": float(target[s])} for s in m]})
+    stretch = pa.struct([("source", pa.string()), ("start", pa.int64()), ("stop", pa.int64())])
+    goal = pa.struct([("source", pa.string()), ("words", pa.int64()), ("target", pa.float64())])
+    schema = pa.schema([("for_pattern", pa.string()), ("capacity", pa.int64()), ("flow", pa.int64()), ("buckets", pa.int64()),
+                        ("stretches", pa.list_(stretch)), ("goals", pa.list_(goal))])
+    # At most max_patterns rows.  An Arrow table becomes part of the plan; a list would start Python workers to be read.
+    plan = F.broadcast(docs.sparkSession.createDataFrame(pa.Table.from_pylist(table, schema)))
     def in_buckets(some: DataFrame) -> DataFrame:
         return some.join(plan, some.pattern == F.col("for_pattern")).withColumn("bucket", F.pmod(F.xxhash64("draw"), F.col("buckets")))
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import simhash
-from tidemark.llm.common import bounded_batches, buffer_of, components, cut, mix
+from tidemark.llm.common import bounded_batches, buffer_of, components, cut, lean, mix
 from tidemark.llm.decontaminate import small
 
 WIDTH = 5
@@ -83,7 +83,7 @@ def described(docs: DataFrame, width: int, similarity: float, id_col: str, text_
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(
-        run, "doc_id long, text_hash long, size int, level int, below0 int, below1 int, sig long, keys array<long>")
+        lean(run), "doc_id long, text_hash long, size int, level int, below0 int, below1 int, sig long, keys array<long>")
 
 
 def blocks_of(classes: DataFrame, similarity: float) -> DataFrame:
@@ -219,7 +219,7 @@ def verified(tiles: DataFrame, similarity: float) -> DataFrame:
             yield simhash._edges([settle(held)])
 
     dealt = tiles.select("tile", "sig", "grouped", "shingles").repartition("tile").sortWithinPartitions("tile")
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(lean(run), "a long, b long")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -233,7 +233,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                                              ["sig", "cluster", "shingles"])
 
     joined = docs.join(wanted, docs.doc_id.eqNullSafe(wanted.in_doc) & (docs.text_hash == wanted.in_text))
-    return joined.select("sig", "cluster", "text").mapInArrow(run, "sig long, cluster long, shingles array<long>").dropDuplicates(["sig"])
+    return joined.select("sig", "cluster", "text").mapInArrow(lean(run), "sig long, cluster long, shingles array<long>").dropDuplicates(["sig"])
 
 
 def links(sets: DataFrame, similarity: float, chunk: int = CHUNK, elements: int = ELEMENTS) -> DataFrame:

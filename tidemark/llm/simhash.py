@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, buffer_of, components, cut
+from tidemark.llm.common import bounded_batches, buffer_of, components, cut, lean
 from tidemark.llm.decontaminate import small
 
 SEED = 42
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col:
                                              ["doc_id", "fp"])
 
     return (bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, fp long"))
+            .mapInArrow(lean(run), "doc_id long, fp long"))
 
 
 # ------------------------------------------------------------------ tiles
@@ -182,7 +182,7 @@ def compared(blocks: DataFrame, radius: int, compare, large: int = LARGE_BLOCK)
     some = bool(sizes.head(1))
     usual = blocks.join(sizes, blocks.block == sizes.big, "left_anti") if some else blocks
     found = (usual.select("block", "fp", *others).repartition("block").sortWithinPartitions("block", F.bit_count("fp"))
-             .mapInArrow(sweep(radius, compare), "a long, b long"))
+             .mapInArrow(lean(sweep(radius, compare)), "a long, b long"))
     if not some:
         return found
     big = blocks.join(sizes, blocks.block == sizes.big).select("block", "fp", *others, F.bit_count("fp").alias("pop"))
@@ -200,7 +200,7 @@ def compared(blocks: DataFrame, radius: int, compare, large: int = LARGE_BLOCK)
     pairs = rows.select(F.xxhash64("block", F.least(mine, theirs), F.greatest(mine, theirs)).alias("pair"),
                         F.when(mine <= theirs, 0).otherwise(1).alias("side"), "fp", *others)
     dealt = pairs.repartition("pair").sortWithinPartitions("pair", "side")
-    return found.unionByName(dealt.mapInArrow(grid(compare), "a long, b long"))
+    return found.unionByName(dealt.mapInArrow(lean(grid(compare)), "a long, b long"))
 
 
 def links(fps: DataFrame, radius: int, groups: int | None = None, large: int = LARGE_BLOCK) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, buffer_of, cut, range_hash, slices, word_bounds
+from tidemark.llm.common import bounded_batches, buffer_of, cut, lean, range_hash, slices, word_bounds
 
 BITS = 18
 STEMS = (4, 5)
@@ -187,7 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "d
                 [pa.array(np.r_[have, -1]), pa.array(np.r_[sums[1, have], toxic.sum()]),
                  pa.array(np.r_[sums[0, have], (~toxic).sum()])], ["bucket", "toxic", "clean"])
 
-    counted = (rows.mapInArrow(count, "bucket long, toxic long, clean long")
+    counted = (rows.mapInArrow(lean(count), "bucket long, toxic long, clean long")
                .groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
     # At most one row per bucket comes back.
     table = np.array([tuple(r) for r in counted.filter(F.col("toxic") + F.col("clean") >= LEAST_ROWS).collect()], np.int64).reshape(-1, 3)
@@ -221,7 +221,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str = "d
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64())), pa.array(toxic)],
                                              ["features", "toxic"])
 
-    drawn = rows.mapInArrow(draw, "features array<long>, toxic long")
+    drawn = rows.mapInArrow(lean(draw), "features array<long>, toxic long")
     # Rows of equal features come back once, with their counts.
     grouped = (drawn.groupBy(F.array_join(F.col("features").cast("array<string>"), " ").alias("f"))
                .agg(F.sum(F.col("toxic").cast("long")).alias("toxic"), F.count("*").alias("n")).collect())
@@ -248,4 +248,4 @@ def score(docs: DataFrame, machine: Machine, keep: list[Column], text_col: str =
                                              ["kept", "score"])
 
     kept = chosen.schema["kept"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"kept {kept}, score double").select("kept.*", "score")
+    return chosen.mapInArrow(lean(run), f"kept {kept}, score double").select("kept.*", "score")
